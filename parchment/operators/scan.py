@@ -14,12 +14,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from parchment.session import materialize
+
 
 def _segments(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Range-partition and tag each row with its segment (task) number.
+
+    The tagged rows are written once to the checkpoint folder: the segment
+    number comes from ``spark_partition_id()``, which must not be evaluated
+    again by the several branches below (AQE may coalesce each read of the
+    exchange differently), and the written table also cuts the lineage.
+    """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *[F.col(k) for k in keys + order]).withColumn(
+    tagged = df.repartitionByRange(n, *[F.col(k) for k in keys + order]).withColumn(
         "_seg", F.spark_partition_id())
+    return materialize(tagged, "segments")
 
 
 def row_number_by(df: DataFrame, keys: list[str], order: list[str], out: str,

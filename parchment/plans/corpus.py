@@ -19,17 +19,39 @@ from parchment.sources import fixtures
 RAW_DIR = "data/raw"
 
 
+_STAGES: dict = {}
+
+
+def stage(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A pipeline stage's output table: built once per session and input, then read."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STAGES:
+        _STAGES[key] = materialize(build(), f"stage-{name}")
+    return _STAGES[key]
+
+
 def corpus_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed objects classified against the previous hash of their source."""
-    reg = fixtures.registry(spark, sf_dir)
-    return ingest.classify_fetches(fixtures.landed(spark, sf_dir), reg, RAW_DIR)
+    def build():
+        reg = fixtures.registry(spark, sf_dir)
+        return ingest.classify_fetches(fixtures.landed(spark, sf_dir), reg, RAW_DIR)
+    return stage(spark, sf_dir, "events", build)
+
+
+def fetch_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fetch log classified (W1) - the input of registry state, run summary, due sources."""
+    def build():
+        reg = fixtures.registry(spark, sf_dir)
+        return ingest.classify_fetches(fixtures.fetch_log(spark, sf_dir), reg, RAW_DIR)
+    return stage(spark, sf_dir, "fetches", build)
 
 
 def corpus_extracted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reg = fixtures.registry(spark, sf_dir)
-    pending = extract.pending_extraction(corpus_events(spark, sf_dir), reg,
-                                         _empty_extracted(spark))
-    return extract.extract_events(pending, raw_text="content")
+    def build():
+        reg = fixtures.registry(spark, sf_dir)
+        pending = extract.pending_extraction(corpus_events(spark, sf_dir), reg, _empty_extracted(spark))
+        return extract.extract_events(pending, raw_text="content")
+    return stage(spark, sf_dir, "extracted", build)
 
 
 def _empty_extracted(spark: SparkSession) -> DataFrame:
@@ -42,12 +64,14 @@ def corpus_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return documents.build_documents(corpus_records(spark, sf_dir))
+    return stage(spark, sf_dir, "documents", lambda: documents.build_documents(corpus_records(spark, sf_dir)))
 
 
 def corpus_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pending = chunking.pending_chunks(corpus_documents(spark, sf_dir), corpus_extracted(spark, sf_dir))
-    return chunking.build_chunks(pending)
+    def build():
+        pending = chunking.pending_chunks(corpus_documents(spark, sf_dir), corpus_extracted(spark, sf_dir))
+        return chunking.build_chunks(pending)
+    return stage(spark, sf_dir, "chunks", build)
 
 
 _INDEX_CACHE: dict = {}

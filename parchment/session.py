@@ -27,6 +27,7 @@ _CLUSTER_DEFAULTS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
