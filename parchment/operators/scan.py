@@ -68,3 +68,21 @@ def last_known_before(df: DataFrame, keys: list[str], order: list[str], value: s
     res = local.join(carry_all, [*keys, "_seg"], "left")
     return res.withColumn(out, F.coalesce(F.col("_lprev"), F.col("_carry"))).drop(
         "_seg", "_lprev", "_carry")
+
+
+def running_sum_by(df: DataFrame, keys: list[str], order: list[str], values: list[str],
+                   outs: list[str]) -> DataFrame:
+    """Inclusive running sums of ``values`` in ``order`` within ``keys`` (skew-safe)."""
+    seg = _segments(df, keys, order)
+    w_local = Window.partitionBy(*keys, "_seg").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    local = seg
+    for v, o in zip(values, outs):
+        local = local.withColumn(f"_l{o}", F.sum(v).over(w_local))
+    sums = seg.groupBy(*keys, "_seg").agg(*[F.sum(v).alias(f"_t{o}") for v, o in zip(values, outs)])
+    w_seg = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    carry = sums.select(*keys, "_seg", *[F.coalesce(F.sum(f"_t{o}").over(w_seg), F.lit(0)).alias(f"_c{o}")
+                                         for o in outs])
+    res = local.join(carry, [*keys, "_seg"], "inner")
+    for o in outs:
+        res = res.withColumn(o, F.col(f"_l{o}") + F.col(f"_c{o}")).drop(f"_l{o}", f"_c{o}")
+    return res.drop("_seg")

@@ -357,3 +357,266 @@ def q_hybrid_topk(spark, sf):
     r = retrieval.retrieve(_sha_index(spark, sf), corpus.benchmark_queries(spark, sf), "hybrid", 5,
                            SHA_EMBEDDING_MODEL)
     return _result_select(r)
+
+
+# ------------------------------------------------------------ evaluation
+from parchment.operators import evaluation  # noqa: E402
+from parchment.constants import CANDIDATE_LIMIT  # noqa: E402
+
+
+def _eval_results(spark, sf):
+    qs = corpus.questions(spark, sf).where("is_active")
+    qt = qs.select(F.col("question_id").alias("query_id"), F.col("question_text").alias("query_text"),
+                   F.col("expected_agency").alias("agency"))   # B15: the expected agency filters
+    res = retrieval.retrieve(_sha_index(spark, sf), qt, "hybrid", 5, SHA_EMBEDDING_MODEL)
+    return evaluation.question_outcomes(res, qs)
+
+
+@register("eval_results", Q.with_ctes("""
+  SELECT question_id, question_text, matched, CAST(first_relevant_rank AS DOUBLE) AS first_relevant_rank, top_title, top_source_url,
+         round(top_hybrid_score, 6) AS top_hybrid_score FROM eval_outcomes""", "eval_outcomes"))
+def q_eval_results(spark, sf):
+    return (_eval_results(spark, sf).withColumn("top_hybrid_score", r6("top_hybrid_score"))
+            .withColumn("first_relevant_rank", F.col("first_relevant_rank").cast("double")))
+
+
+@register("eval_summary", Q.with_ctes("""
+  SELECT count(*) AS question_count, count(*) FILTER (WHERE matched) AS hit_count,
+         round(coalesce(count(*) FILTER (WHERE matched) / nullif(count(*), 0), 0.0), 6) AS hit_rate,
+         round(coalesce(sum(coalesce(1.0 / first_relevant_rank, 0.0)) / nullif(count(*), 0), 0.0), 6) AS mean_reciprocal_rank
+  FROM eval_outcomes""", "eval_outcomes"))
+def q_eval_summary(spark, sf):
+    s = evaluation.evaluation_summary(_eval_results(spark, sf))
+    return s.select("question_count", "hit_count", r6("hit_rate").alias("hit_rate"),
+                    r6("mean_reciprocal_rank").alias("mean_reciprocal_rank"))
+
+
+def candidate_set(spark, sf, limit: int = CANDIDATE_LIMIT) -> DataFrame:
+    """Top-``limit`` hybrid candidates per active question, labelled by F7 (a stage table)."""
+    return corpus.stage(spark, sf, f"candidates-{limit}", lambda: _build_candidates(spark, sf, limit))
+
+
+def _build_candidates(spark, sf, limit: int) -> DataFrame:
+    qs = corpus.questions(spark, sf).where("is_active")
+    qt = qs.select(F.col("question_id").alias("query_id"), F.col("question_text").alias("query_text"))
+    res = retrieval.retrieve(_sha_index(spark, sf), qt, "hybrid", limit, SHA_EMBEDDING_MODEL)
+    j = res.join(qs.select(F.col("question_id").alias("query_id"), "question_text", "expected_title_contains",
+                           "expected_source_url", "expected_agency"), "query_id")
+    label = evaluation.expectation_match("title", "source_url", "agency", "expected_title_contains",
+                                         "expected_source_url", "expected_agency").cast("int")
+    text = F.format_string("query: %s\ntitle: %s\nagency: %s\ntopic: %s\ndocument_type: %s\nchunk: %s",
+                           "question_text", "title", "agency", "topic", "document_type", "preview")
+    return j.select(F.col("query_id").alias("question_id"), "question_text", F.col("rank").alias("candidate_rank"),
+                    "chunk_id", "document_id", "chunk_index", "title", "agency", "hybrid_score",
+                    "vector_similarity", label.alias("label"), text.alias("text"))
+
+
+_TEMPLATE_SQL = ("'query: ' || q.question_text || chr(10) || 'title: ' || c.title || chr(10) || 'agency: ' || c.agency"
+                 " || chr(10) || 'topic: ' || c.topic || chr(10) || 'document_type: ' || c.document_type"
+                 " || chr(10) || 'chunk: ' || c.preview")
+
+
+@register("candidate_set", Q.with_ctes(f"""
+  SELECT c.question_id, c.candidate_rank, c.chunk_id, c.label, round(c.hybrid_score, 6) AS hybrid_score,
+         sha256({_TEMPLATE_SQL}) AS text_hash
+  FROM candidates c JOIN questions q USING (question_id)""", "candidates", "questions"))
+def q_candidate_set(spark, sf):
+    c = candidate_set(spark, sf)
+    return c.select("question_id", "candidate_rank", "chunk_id", "label", r6("hybrid_score").alias("hybrid_score"),
+                    F.sha2("text", 256).alias("text_hash"))
+
+
+def _metrics_sql(score: str, src: str = "candidates", k: int = 5) -> str:
+    return f"""
+  SELECT count(*) AS questions,
+         round(coalesce(count(first) / nullif(count(*), 0), 0.0), 6) AS hit_rate_at_{k},
+         round(coalesce(sum(coalesce(1.0 / first, 0.0)) / nullif(count(*), 0), 0.0), 6) AS mrr,
+         round(coalesce(sum(prec) / nullif(count(*), 0), 0.0), 6) AS precision_at_{k}
+  FROM (SELECT question_id, min(CASE WHEN label = 1 THEN r END) AS first, sum(label) / count(*) AS prec
+        FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY {score} DESC, candidate_rank) AS r
+              FROM {src}) WHERE r <= {k} GROUP BY question_id)"""
+
+
+def _round_cols(df: DataFrame, cols: list[str]) -> DataFrame:
+    return df.select(*[r6(c).alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+@register("ranking_metrics", Q.with_ctes(_metrics_sql("hybrid_score"), "candidates"))
+def q_ranking_metrics(spark, sf):
+    m = evaluation.grouped_metrics(candidate_set(spark, sf), "hybrid_score", 5)
+    return _round_cols(m, ["hit_rate_at_5", "mrr", "precision_at_5"])
+
+
+@register("grouped_split", Q.with_ctes("""
+  SELECT question_id, CASE WHEN pos <= vc THEN 'validation' WHEN pos <= vc + tc THEN 'test' ELSE 'train' END AS split
+  FROM (SELECT question_id, row_number() OVER (ORDER BY sha256('99:' || question_text), question_text) AS pos,
+               greatest(1, CAST(round_even(count(*) OVER () * 0.25, 0) AS INTEGER)) AS vc,
+               greatest(1, CAST(round_even(count(*) OVER () * 0.25, 0) AS INTEGER)) AS tc
+        FROM questions WHERE is_active)""", "questions"))
+def q_grouped_split(spark, sf):
+    qs = corpus.questions(spark, sf).where("is_active")
+    return evaluation.grouped_split(qs).select("question_id", "split")
+
+
+Q.cte("split_of", ("questions",), """
+  SELECT question_id, CASE WHEN pos <= vc THEN 'validation' WHEN pos <= vc + tc THEN 'test' ELSE 'train' END AS split
+  FROM (SELECT question_id, row_number() OVER (ORDER BY sha256('99:' || question_text), question_text) AS pos,
+               greatest(1, CAST(round_even(count(*) OVER () * 0.25, 0) AS INTEGER)) AS vc,
+               greatest(1, CAST(round_even(count(*) OVER () * 0.25, 0) AS INTEGER)) AS tc
+        FROM questions WHERE is_active)""")
+
+
+def _splits(spark, sf):
+    return evaluation.grouped_split(corpus.questions(spark, sf).where("is_active")).select("question_id", "split")
+
+
+@register("split_label_check", Q.with_ctes("""
+  SELECT s.split, CAST(sum(c.label) AS BIGINT) AS positives, count(*) FILTER (WHERE c.label = 0) AS negatives,
+         count(DISTINCT c.label) = 2 AS has_both_labels
+  FROM candidates c JOIN split_of s USING (question_id) GROUP BY s.split""", "candidates", "split_of"))
+def q_split_label_check(spark, sf):
+    return evaluation.split_label_check(candidate_set(spark, sf), _splits(spark, sf))
+
+
+# Metric operators are checked on a given probability.  For the SQL check the
+# probability is a deterministic stand-in (the candidate's vector similarity);
+# the trained reranker supplies it in ``rerank_apply``.
+def _scored_candidates(spark, sf):
+    return candidate_set(spark, sf).withColumn("probability", F.col("vector_similarity"))
+
+
+@register("blend_scores", Q.with_ctes("""
+  SELECT question_id, candidate_rank, round(0.1 * vector_similarity + 0.9 * hybrid_score, 6) AS blended_score
+  FROM candidates""", "candidates"))
+def q_blend_scores(spark, sf):
+    c = _scored_candidates(spark, sf)
+    return c.select("question_id", "candidate_rank",
+                    r6(evaluation.blend("probability", "hybrid_score", 0.1)).alias("blended_score"))
+
+
+def _sweep_sql(src: str) -> str:
+    return f"""
+  SELECT weight, count(*) AS questions,
+         round(count(first) / count(*), 6) AS hit_rate_at_5, round(sum(coalesce(1.0 / first, 0.0)) / count(*), 6) AS mrr,
+         round(sum(prec) / count(*), 6) AS precision_at_5
+  FROM (SELECT weight, question_id, min(CASE WHEN label = 1 THEN r END) AS first, sum(label) / count(*) AS prec
+        FROM (SELECT *, row_number() OVER (PARTITION BY weight, question_id
+                                           ORDER BY weight * vector_similarity + (1.0 - weight) * hybrid_score DESC,
+                                                    candidate_rank) AS r
+              FROM {src} CROSS JOIN (SELECT unnest(range(0, 11)) / 10.0 AS weight))
+        WHERE r <= 5 GROUP BY weight, question_id)
+  GROUP BY weight"""
+
+
+@register("blend_weight_sweep", Q.with_ctes(_sweep_sql("candidates"), "candidates"))
+def q_blend_weight_sweep(spark, sf):
+    sw = evaluation.blend_sweep(_scored_candidates(spark, sf))
+    return _round_cols(sw, ["hit_rate_at_5", "mrr", "precision_at_5"])
+
+
+def _labelled_scores(spark, sf):
+    lab = fixtures.labelled(spark, sf)
+    n = F.length("text").cast("double")
+    return lab.select("doc_id", "lang", F.col("quality").alias("label"), (n / (n + F.lit(2000.0))).alias("probability"))
+
+
+_LAB_SQL = """SELECT l.doc_id, d.lang, l.quality AS label, length(d.text) / (length(d.text) + 2000.0) AS probability
+              FROM labels l JOIN documents d USING (doc_id)"""
+
+
+@register("average_precision", f"""
+  SELECT lang, round(coalesce(sum(CASE WHEN P > 0 THEN (tp / P) * (ctp / cn) END), 0.0), 6) AS average_precision
+  FROM (SELECT lang, probability, tp, sum(tp) OVER w AS ctp, sum(n) OVER w AS cn, sum(tp) OVER (PARTITION BY lang) AS P
+        FROM (SELECT lang, probability, sum(label) AS tp, count(*) AS n FROM ({_LAB_SQL}) GROUP BY lang, probability)
+        WINDOW w AS (PARTITION BY lang ORDER BY probability DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+  GROUP BY lang""")
+def q_average_precision(spark, sf):
+    ap = evaluation.average_precision(_labelled_scores(spark, sf), group=["lang"])
+    return ap.select("lang", r6("average_precision").alias("average_precision"))
+
+
+@register("precision_recall", f"""
+  SELECT round(coalesce(tp / nullif(tp + fp, 0), 0.0), 6) AS precision, round(coalesce(tp / nullif(tp + fn, 0), 0.0), 6) AS recall,
+         tp AS true_positives, fp AS false_positives, fn AS false_negatives
+  FROM (SELECT count(*) FILTER (WHERE probability >= 0.5 AND label = 1) AS tp,
+               count(*) FILTER (WHERE probability >= 0.5 AND label = 0) AS fp,
+               count(*) FILTER (WHERE probability < 0.5 AND label = 1) AS fn FROM ({_LAB_SQL}))""")
+def q_precision_recall(spark, sf):
+    pr = evaluation.precision_recall(_labelled_scores(spark, sf))
+    return _round_cols(pr, ["precision", "recall"])
+
+
+# ------------------------------------------------------------ reranker (Spark ML; rows-only checks)
+from parchment.operators import reranker  # noqa: E402
+from parchment.session import checkpoint_root  # noqa: E402
+
+# Published best parameters, used where the grid search is not re-run.
+BEST_NGRAM_MAX, BEST_C = 2, 3.0
+
+
+def _split_candidates(spark, sf):
+    return candidate_set(spark, sf).join(_splits(spark, sf), "question_id")
+
+
+@register("reranker_fit")
+def q_reranker_fit(spark, sf):
+    """Fit on the training questions, score validation and test candidates."""
+    data = _split_candidates(spark, sf)
+    model = reranker.fit_reranker(data.where(F.col("split") == "train"), BEST_NGRAM_MAX, BEST_C)
+    reranker.save_reranker(model, 0.1, f"{checkpoint_root(spark)}/reranker-{abs(hash(sf))}")
+    scored = reranker.positive_probability(model, data.where(F.col("split") != "train"))
+    return scored.select("question_id", "split", "candidate_rank", "label", r6("probability").alias("probability"))
+
+
+@register("reranker_grid")
+def q_reranker_grid(spark, sf):
+    """2 x 3 grid, grouped folds, average precision per setting."""
+    data = _split_candidates(spark, sf).where(F.col("split") == "train")
+    _, results = reranker.grid_search(data)
+    return spark.createDataFrame([(r.ngram_max, r.c, round(r.cv_average_precision, 6)) for r in results],
+                                 "ngram_max int, c double, cv_average_precision double")
+
+
+@register("rerank_apply")
+def q_rerank_apply(spark, sf):
+    """Weight chosen on validation, blended scores re-rank test candidates (top 5 of 20)."""
+    data = _split_candidates(spark, sf)
+    model = reranker.fit_reranker(data.where(F.col("split") == "train"), BEST_NGRAM_MAX, BEST_C)
+    val = reranker.positive_probability(model, data.where(F.col("split") == "validation"))
+    best = evaluation.select_weight(evaluation.blend_sweep(val)).collect()[0]["weight"]
+    test = reranker.positive_probability(model, data.where((F.col("split") == "test")
+                                                            & (F.col("candidate_rank") <= 20)))
+    blended = test.withColumn("blended_score", evaluation.blend("probability", "hybrid_score", best))
+    from pyspark.sql import Window
+    w = Window.partitionBy("question_id").orderBy(F.col("blended_score").desc(), F.col("candidate_rank"))
+    top = blended.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 5)
+    return top.select("question_id", "rank", "candidate_rank", "chunk_id", "label",
+                      F.lit(best).alias("selected_model_weight"), r6("probability").alias("probability"),
+                      r6("blended_score").alias("blended_score"))
+
+
+@register("metrics_row")
+def q_metrics_row(spark, sf):
+    """One metrics record (counts, selected weight, baseline vs blended on test, AP, P/R)."""
+    data = _split_candidates(spark, sf).withColumn("probability", F.col("vector_similarity"))
+    val, test = data.where(F.col("split") == "validation"), data.where(F.col("split") == "test")
+    best = evaluation.select_weight(evaluation.blend_sweep(val)).select(
+        F.col("weight").alias("selected_model_weight"), F.lit(1).alias("_k"))
+    base = evaluation.grouped_metrics(test, "hybrid_score").select(
+        F.col("mrr").alias("baseline_mrr"), F.col("hit_rate_at_5").alias("baseline_hit_rate_at_5"), F.lit(1).alias("_k"))
+    counts = data.agg(
+        F.count_distinct("question_id").alias("question_count"),
+        F.count_distinct(F.when(F.col("split") == "train", F.col("question_id"))).alias("train_questions"),
+        F.count_distinct(F.when(F.col("split") == "validation", F.col("question_id"))).alias("validation_questions"),
+        F.count_distinct(F.when(F.col("split") == "test", F.col("question_id"))).alias("test_questions"),
+        F.sum("label").cast("long").alias("positive_examples"),
+        F.count_if(F.col("label") == 0).alias("negative_examples"), F.lit(1).alias("_k"))
+    ap = evaluation.average_precision(test).select(r6("average_precision").alias("test_average_precision"),
+                                                   F.lit(1).alias("_k"))
+    pr = evaluation.precision_recall(test).select(r6("precision").alias("test_precision"),
+                                                  r6("recall").alias("test_recall"), F.lit(1).alias("_k"))
+    row = counts.join(best, "_k").join(base, "_k").join(ap, "_k").join(pr, "_k").drop("_k")
+    path = f"{checkpoint_root(spark)}/metrics-{abs(hash(sf))}"
+    from parchment.sources.tables import write_json
+    write_json(row, path)
+    return _round_cols(row, ["baseline_mrr", "baseline_hit_rate_at_5"])

@@ -90,3 +90,30 @@ def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     from parchment.sources.tables import read_table
     return read_table(spark, sf_dir, "benchmark").select(
         F.col("item_id").alias("query_id"), F.col("text").alias("query_text"))
+
+
+def questions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Golden questions: each benchmark passage; expectations from its lowest gold document.
+
+    Gold documents are those containing the passage verbatim; the expected
+    title and agency are those of the source of the lowest gold ``doc_id``.
+    Items without any gold document are inactive.
+    """
+    def build():
+        from parchment.sources.tables import read_table
+        gold = fixtures.passage_matches(spark, sf_dir)
+        docs = read_table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("source_id"))
+        first = (gold.join(docs, "doc_id").groupBy("item_id")
+                 .agg(F.min_by("source_id", "doc_id").alias("source_id"),
+                      F.count(F.lit(1)).alias("gold_documents")))
+        reg = fixtures.registry(spark, sf_dir).select("source_id", "source_name", "agency")
+        bench = read_table(spark, sf_dir, "benchmark")
+        q = bench.join(first, "item_id", "left").join(reg, "source_id", "left")
+        return q.select(
+            F.col("item_id").alias("question_id"), F.col("text").alias("question_text"),
+            F.col("source_name").alias("expected_title_contains"),
+            F.lit(None).cast("string").alias("expected_source_url"),
+            F.col("agency").alias("expected_agency"),
+            F.concat(F.lit("gold documents: "), F.coalesce(F.col("gold_documents"), F.lit(0)).cast("string")).alias("notes"),
+            F.col("source_id").isNotNull().alias("is_active"))
+    return stage(spark, sf_dir, "questions", build)

@@ -118,7 +118,7 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     lab = read_table(spark, sf_dir, "labels")
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang")
     return lab.join(docs, "doc_id", "inner")
 
 
