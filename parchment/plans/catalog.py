@@ -620,3 +620,235 @@ def q_metrics_row(spark, sf):
     from parchment.sources.tables import write_json
     write_json(row, path)
     return _round_cols(row, ["baseline_mrr", "baseline_hit_rate_at_5"])
+
+
+# ------------------------------------------------------------ upserts
+from parchment.operators import governance as gov  # noqa: E402
+
+
+def _extract_all(spark, sf, min_chars, later=False):
+    reg = fixtures.registry(spark, sf)
+    empty = spark.createDataFrame([], "event_id long")
+    ex = extract.extract_events(extract.pending_extraction(corpus.corpus_events(spark, sf), reg, empty),
+                                raw_text="content", min_characters=min_chars)
+    if later:  # a later run: same events, extracted a day later
+        ex = ex.withColumn("extracted_at", F.col("extracted_at") + F.expr("INTERVAL 1 DAY"))
+    return ex
+
+
+@register("upsert_latest", Q.with_ctes("""
+  SELECT event_id, extraction_method,
+         CASE WHEN extraction_method = 'unsupported' THEN 'failed' WHEN character_count < 1000 THEN 'quarantined'
+              ELSE 'success' END AS extraction_status,
+         CASE WHEN extraction_method = 'unsupported' THEN error_message
+              WHEN character_count < 1000 THEN 'Extracted text too short: ' || character_count || ' characters, minimum is 1000'
+         END AS error_message, character_count
+  FROM extracted""", "extracted"))
+def q_upsert_latest(spark, sf):
+    cut = F.lit(PREVIOUS_RUN_AT).cast("timestamp")
+    existing = _extract_all(spark, sf, 500).where(F.col("extracted_at") < cut)
+    incoming = _extract_all(spark, sf, 1000, later=True)
+    merged = gov.upsert_latest(existing, incoming, ["event_id"], ["extracted_at"])
+    return merged.select("event_id", "extraction_method", "extraction_status", "error_message", "character_count")
+
+
+@register("upsert_keep_version", Q.with_ctes("""
+  SELECT document_id, source_id, content_hash, version_number, document_status FROM documents_built""",
+                                             "documents_built"))
+def q_upsert_keep_version(spark, sf):
+    recs = corpus.corpus_records(spark, sf)
+    cut = F.lit(PREVIOUS_RUN_AT).cast("timestamp")
+    existing = documents.build_documents(recs.where(F.col("extracted_at") < cut))
+    reg = fixtures.registry(spark, sf)
+    pending = documents.pending_documents(corpus.corpus_extracted(spark, sf), reg, corpus.corpus_events(spark, sf),
+                                          existing)
+    new = documents.build_documents(pending, existing)
+    merged = gov.upsert_keep(existing, new, ["source_id", "content_hash"], ["document_id", "version_number",
+                                                                            "created_at"])
+    return merged.select("document_id", "source_id", "content_hash", "version_number", "document_status")
+
+
+def _corrections(reg):
+    """Corrections derived from the registry: API sources are disabled, PDF sources move to a v2 URL."""
+    return reg.select("source_url",
+                      F.when(F.col("source_type") == "pdf", F.regexp_replace("source_url", r"\.pdf$", "-v2.pdf"))
+                      .alias("new_url"),
+                      F.when(F.col("source_type") == "api", "disable")
+                      .when(F.col("source_type") == "pdf", "swap_url").alias("action")).where("action IS NOT NULL")
+
+
+@register("registry_fix", Q.with_ctes("""
+  SELECT r.source_id,
+         CASE WHEN r.source_type = 'pdf' THEN regexp_replace(r.source_url, '\\.pdf$', '-v2.pdf') ELSE r.source_url END AS source_url,
+         CASE WHEN r.source_type = 'api' THEN false ELSE r.is_active END AS is_active,
+         CASE WHEN r.source_type = 'pdf' THEN 'not_started' WHEN r.source_type = 'api' THEN 'disabled'
+              ELSE coalesce(l.status, r.last_status) END AS last_status,
+         CASE WHEN r.source_type = 'pdf' THEN NULL ELSE h.current_hash END AS current_hash
+  FROM registry r
+  LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY fetched_at DESC, event_id DESC) AS rn
+                            FROM fetch_classified) WHERE rn = 1) l USING (source_id)
+  LEFT JOIN (SELECT source_id, content_hash AS current_hash FROM (
+               SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY fetched_at DESC, event_id DESC) AS rn
+               FROM fetch_classified WHERE content_hash IS NOT NULL) WHERE rn = 1) h USING (source_id)""",
+                                      "registry", "fetch_classified"))
+def q_registry_fix(spark, sf):
+    now = _registry_now(spark, sf)
+    fixed = gov.apply_corrections(now, _corrections(fixtures.registry(spark, sf)))
+    return fixed.select("source_id", "source_url", "is_active", "last_status", "current_hash")
+
+
+@register("seed_merge", Q.with_ctes("""
+  SELECT r.source_id, r.source_url, r.priority + 5 AS priority, 'reseeded' AS notes, h.current_hash,
+         coalesce(l.status, r.last_status) AS last_status
+  FROM registry r
+  LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY fetched_at DESC, event_id DESC) AS rn
+                            FROM fetch_classified) WHERE rn = 1) l USING (source_id)
+  LEFT JOIN (SELECT source_id, content_hash AS current_hash FROM (
+               SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY fetched_at DESC, event_id DESC) AS rn
+               FROM fetch_classified WHERE content_hash IS NOT NULL) WHERE rn = 1) h USING (source_id)""",
+                                    "registry", "fetch_classified"))
+def q_seed_merge(spark, sf):
+    """Re-seeding the registry overwrites metadata and keeps the fetch state."""
+    now = _registry_now(spark, sf)
+    seed = fixtures.registry(spark, sf).select("source_url", "source_name", (F.col("priority") + 5).alias("priority"),
+                                               F.lit("reseeded").alias("notes"))
+    merged = gov.seed_merge(now, seed, "source_url", ["source_name", "priority", "notes"])
+    return merged.select("source_id", "source_url", F.col("priority").cast("int").alias("priority"), "notes",
+                         "current_hash", "last_status")
+
+
+@register("questions_merge", Q.with_ctes("""
+  SELECT question_id, question_text, expected_title_contains, is_active FROM questions""", "questions"))
+def q_questions_merge(spark, sf):
+    """Seeding questions again overwrites expectations and reactivates them."""
+    qs = corpus.questions(spark, sf)
+    existing = qs.withColumn("is_active", F.lit(False)).withColumn("expected_title_contains", F.lit(None).cast("string"))
+    seed = qs.where("is_active").select("question_text", "expected_title_contains", "expected_agency", "notes")
+    merged = gov.seed_merge(existing, seed, "question_text",
+                            ["expected_title_contains", "expected_agency", "notes"], reactivate="is_active")
+    return merged.select("question_id", "question_text", "expected_title_contains", "is_active")
+
+
+# ------------------------------------------------------------ audits
+def _embeddings(spark, sf, model=EMBEDDING_MODEL):
+    return corpus.stage(spark, sf, f"embeddings-{model}",
+                        lambda: embedding.embed_chunks(corpus.corpus_chunks(spark, sf), model))
+
+
+@register("audit_unique", Q.with_ctes("""
+  SELECT table_name, key_columns, count(*) FILTER (WHERE n > 1) AS duplicate_keys,
+         CAST(coalesce(sum(n - 1) FILTER (WHERE n > 1), 0) AS BIGINT) AS extra_rows
+  FROM (SELECT 'documents' AS table_name, 'source_id,content_hash' AS key_columns, count(*) AS n FROM documents_built GROUP BY source_id, content_hash
+        UNION ALL SELECT 'document_chunks', 'document_id,chunk_index', count(*) FROM chunks GROUP BY document_id, chunk_index
+        UNION ALL SELECT 'quality_results', 'extracted_text_id,rule_name', count(*) FROM rules GROUP BY extracted_text_id, rule_name
+        UNION ALL SELECT 'orders', 'o_orderkey', count(*) FROM orders GROUP BY o_orderkey
+        UNION ALL SELECT 'lineitem', 'l_orderkey,l_linenumber', count(*) FROM lineitem GROUP BY l_orderkey, l_linenumber
+        UNION ALL SELECT 'source_texts', 'text', count(*) FROM documents GROUP BY text)
+  GROUP BY table_name, key_columns""", "documents_built", "chunks", "rules"))
+def q_audit_unique(spark, sf):
+    from parchment.sources.tables import read_table
+    t = {
+        "documents": (corpus.corpus_documents(spark, sf), ["source_id", "content_hash"]),
+        "document_chunks": (corpus.corpus_chunks(spark, sf), ["document_id", "chunk_index"]),
+        "quality_results": (documents.quality_rules(corpus.corpus_records(spark, sf)), ["extracted_text_id", "rule_name"]),
+        "orders": (read_table(spark, sf, "orders"), ["o_orderkey"]),
+        "lineitem": (read_table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"]),
+        "source_texts": (read_table(spark, sf, "documents"), ["text"]),
+    }
+    return gov.audit_unique(t)
+
+
+@register("audit_fk", Q.with_ctes("""
+  SELECT 'chunks.document_id' AS relation, count(*) AS orphans FROM chunks WHERE document_id NOT IN (SELECT document_id FROM documents_built)
+  UNION ALL SELECT 'documents.extracted_text_id', count(*) FROM documents_built WHERE extracted_text_id NOT IN (SELECT extracted_text_id FROM extracted)
+  UNION ALL SELECT 'labels.doc_id', count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)
+  UNION ALL SELECT 'orders.o_custkey', count(*) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)
+  UNION ALL SELECT 'lineitem.l_orderkey', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)
+  UNION ALL SELECT 'lineitem.l_partkey', count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part)
+  UNION ALL SELECT 'customer.c_nationkey', count(*) FROM customer WHERE c_nationkey NOT IN (SELECT n_nationkey FROM nation)""",
+                                  "chunks", "documents_built", "extracted"))
+def q_audit_fk(spark, sf):
+    from parchment.sources.tables import read_table
+    rt = lambda n: read_table(spark, sf, n)
+    rel = {
+        "chunks.document_id": (corpus.corpus_chunks(spark, sf), "document_id", corpus.corpus_documents(spark, sf), "document_id"),
+        "documents.extracted_text_id": (corpus.corpus_documents(spark, sf), "extracted_text_id",
+                                        corpus.corpus_extracted(spark, sf), "extracted_text_id"),
+        "labels.doc_id": (rt("labels"), "doc_id", rt("documents"), "doc_id"),
+        "orders.o_custkey": (rt("orders"), "o_custkey", rt("customer"), "c_custkey"),
+        "lineitem.l_orderkey": (rt("lineitem"), "l_orderkey", rt("orders"), "o_orderkey"),
+        "lineitem.l_partkey": (rt("lineitem"), "l_partkey", rt("part"), "p_partkey"),
+        "customer.c_nationkey": (rt("customer"), "c_nationkey", rt("nation"), "n_nationkey"),
+    }
+    return gov.audit_fk(rel)
+
+
+def _domain_sql(table: str, col: str, allowed: tuple, name: str) -> str:
+    vals = ", ".join(f"'{v}'" for v in allowed)
+    return f"SELECT '{name}' AS column_name, count(*) FILTER (WHERE {col} IS NOT NULL AND {col} NOT IN ({vals})) AS violations FROM {table}"
+
+
+_DOMAIN_ITEMS = [("registry", c, v, f"sources.{c}") for c, v in gov.REGISTRY_DOMAINS.items()] + [
+    ("fetch_classified", "status", gov.OTHER_DOMAINS["fetch_status"], "source_fetch_events.status"),
+    ("extracted", "extraction_status", gov.OTHER_DOMAINS["extraction_status"], "extracted_text.extraction_status"),
+    ("documents_built", "document_status", gov.OTHER_DOMAINS["document_status"], "documents.document_status"),
+    ("orders", "o_orderstatus", ("O", "F", "P"), "orders.o_orderstatus"),
+    ("lineitem", "l_returnflag", ("R", "A", "N"), "lineitem.l_returnflag"),
+]
+
+
+@register("audit_domain", Q.with_ctes("\n  UNION ALL ".join(_domain_sql(*i) for i in _DOMAIN_ITEMS),
+                                      "registry", "fetch_classified", "extracted", "documents_built"))
+def q_audit_domain(spark, sf):
+    from parchment.sources.tables import read_table
+    frames = {"registry": fixtures.registry(spark, sf), "fetch_classified": corpus.fetch_events(spark, sf),
+              "extracted": corpus.corpus_extracted(spark, sf), "documents_built": corpus.corpus_documents(spark, sf),
+              "orders": read_table(spark, sf, "orders"), "lineitem": read_table(spark, sf, "lineitem")}
+    return gov.audit_domain({name: (frames[t], c, v) for t, c, v, name in _DOMAIN_ITEMS})
+
+
+@register("audit_null", """
+  SELECT 'documents' AS table_name, column_name, nulls FROM (
+    SELECT count(*) FILTER (WHERE doc_id IS NULL) AS doc_id, count(*) FILTER (WHERE text IS NULL) AS text,
+           count(*) FILTER (WHERE lang IS NULL) AS lang, count(*) FILTER (WHERE source IS NULL) AS source FROM documents)
+  UNPIVOT (nulls FOR column_name IN (doc_id, text, lang, source))
+  UNION ALL
+  SELECT 'lineitem', column_name, nulls FROM (
+    SELECT count(*) FILTER (WHERE l_orderkey IS NULL) AS l_orderkey, count(*) FILTER (WHERE l_partkey IS NULL) AS l_partkey,
+           count(*) FILTER (WHERE l_quantity IS NULL) AS l_quantity, count(*) FILTER (WHERE l_shipdate IS NULL) AS l_shipdate
+    FROM lineitem) UNPIVOT (nulls FOR column_name IN (l_orderkey, l_partkey, l_quantity, l_shipdate))""")
+def q_audit_null(spark, sf):
+    from parchment.sources.tables import read_table
+    return gov.audit_null(read_table(spark, sf, "documents"), "documents", ["doc_id", "text", "lang", "source"]) \
+        .unionByName(gov.audit_null(read_table(spark, sf, "lineitem"), "lineitem",
+                                    ["l_orderkey", "l_partkey", "l_quantity", "l_shipdate"]))
+
+
+@register("audit_dim", """
+  SELECT 'vectors' AS table_name, count(*) AS checked, count(*) FILTER (WHERE len(embedding) <> 64) AS violations
+  FROM embeddings""")
+def q_audit_dim(spark, sf):
+    v = fixtures.vectors(spark, sf).withColumn("embedding_dimension", F.lit(64))
+    bad = v.where(F.size("embedding") != F.col("embedding_dimension"))
+    return v.agg(F.count(F.lit(1)).alias("checked")).select(
+        F.lit("vectors").alias("table_name"), "checked",
+        F.lit(bad.count()).cast("long").alias("violations"))
+
+
+@register("cascade_delete", Q.with_ctes("""
+  SELECT 'documents' AS table_name, count(*) AS remaining FROM documents_built d JOIN registry r USING (source_id) WHERE r.is_active
+  UNION ALL SELECT 'document_chunks', count(*) FROM chunks c JOIN registry r USING (source_id) WHERE r.is_active
+  UNION ALL SELECT 'quality_results', count(*) FROM rules q JOIN documents_built d USING (extracted_text_id)
+            JOIN registry r ON r.source_id = d.source_id WHERE r.is_active""", "documents_built", "chunks", "rules", "registry"))
+def q_cascade_delete(spark, sf):
+    """Q6: documents of inactive sources are removed with their chunks and rule rows."""
+    docs = corpus.corpus_documents(spark, sf)
+    inactive = fixtures.registry(spark, sf).where(~F.col("is_active")).select("source_id")
+    doomed = docs.join(inactive, "source_id", "left_semi")
+    rules = documents.quality_rules(corpus.corpus_records(spark, sf)).join(
+        docs.select("extracted_text_id", "document_id"), "extracted_text_id")
+    out = gov.cascade_delete(docs, {"document_chunks": corpus.corpus_chunks(spark, sf), "quality_results": rules},
+                             doomed)
+    from functools import reduce as _r
+    return _r(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("remaining")).select(
+        F.lit(n).alias("table_name"), "remaining") for n, df in out.items()])
