@@ -190,32 +190,29 @@ def exact_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -
 
 
 def near_duplicate_clusters(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 3,
-                            num_hashes: int = 20, bands: int = 5, seed: int = 7) -> DataFrame:
+                            num_hashes: int = 20, bands: int = 5) -> DataFrame:
     """Near-copies by MinHash banding, as a cluster label (no pair is emitted).
 
-    Word shingles are hashed into a sparse vector; Spark ML ``MinHashLSH``
-    computes the signatures; every band value is a group, and a document's
-    label is the smallest id over the groups of its bands (one hop).  Work
-    is linear in the documents; a hot group is an aggregation, not pairs.
+    Word shingles are exploded once; signature slot ``i`` is
+    ``min(xxhash64(i, shingle))`` per document - plain aggregate expressions,
+    partial on the map side and inside whole-stage codegen.  Every band of
+    ``num_hashes / bands`` slots is a group key; a document's label is the
+    smallest id over the groups of its bands (one hop).  Work is linear in
+    the text; a hot band value is an aggregation, never a pair list.
     """
-    from pyspark.ml.feature import HashingTF, MinHashLSH
-    from pyspark.ml.functions import vector_to_array
-
     from parchment.functions.text import words
 
     w = docs.select(key, words(text).alias("_w"))
-    sh = w.select(key, F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - shingle + 1, F.lit(1))),
-                                   lambda i: F.concat_ws(" ", F.slice("_w", i, shingle))).alias("_sh"))
-    sh = sh.where(F.size(F.filter("_sh", lambda x: x != "")) > 0)
-    tf = HashingTF(inputCol="_sh", outputCol="_v", numFeatures=1 << 20, binary=True).transform(sh)
-    mh = MinHashLSH(inputCol="_v", outputCol="_h", numHashTables=num_hashes, seed=seed).fit(tf).transform(tf)
-    sig = mh.select(key, F.transform("_h", lambda v: vector_to_array(v)[0]).alias("_s"))
-    per = bands and num_hashes // bands
-    banded = sig.select(key, F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(bands - 1)),
-                                                      lambda b: F.slice("_s", b * per + 1, per))).alias("band", "_bv"))
+    sh = w.select(key, F.explode(F.transform(
+        F.sequence(F.lit(1), F.greatest(F.size("_w") - shingle + 1, F.lit(1))),
+        lambda i: F.concat_ws(" ", F.slice("_w", i, shingle)))).alias("_sh")).where(F.col("_sh") != "")
+    sig = sh.groupBy(key).agg(*[F.min(F.xxhash64(F.lit(i), F.col("_sh"))).alias(f"_m{i}")
+                                for i in range(num_hashes)])
+    per = num_hashes // bands
+    band_values = F.array(*[F.xxhash64(*[F.col(f"_m{b * per + j}") for j in range(per)]) for b in range(bands)])
+    banded = sig.select(key, F.posexplode(band_values).alias("band", "_bv"))
     groups = banded.groupBy("band", "_bv").agg(F.min(key).alias("_rep"))
-    rep = banded.join(groups, ["band", "_bv"]).groupBy(key).agg(F.min("_rep").alias("cluster_id"))
-    return rep
+    return banded.join(groups, ["band", "_bv"]).groupBy(key).agg(F.min("_rep").alias("cluster_id"))
 
 
 def chunk_rule_counts(chunks: DataFrame, chunk_words: int) -> DataFrame:
@@ -237,9 +234,9 @@ def normalise_metadata(registry: DataFrame) -> DataFrame:
     norm = F.regexp_replace(F.lower(collapse_ws(F.col("agency"))), r"[^a-z0-9]+", " ")
     return registry.select(
         "source_id", "agency", F.trim(norm).alias("agency_key"),
-        (F.coalesce(F.trim(F.col("source_name")), F.lit("")) != "")
-        & (F.coalesce(F.trim(F.col("agency")), F.lit("")) != "")
-        & (F.coalesce(F.trim(F.col("source_url")), F.lit("")) != "").alias("metadata_complete"))
+        ((F.coalesce(F.trim(F.col("source_name")), F.lit("")) != "")
+         & (F.coalesce(F.trim(F.col("agency")), F.lit("")) != "")
+         & (F.coalesce(F.trim(F.col("source_url")), F.lit("")) != "")).alias("metadata_complete"))
 
 
 def version_diff(chunks: DataFrame, documents: DataFrame) -> DataFrame:

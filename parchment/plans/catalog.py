@@ -852,3 +852,213 @@ def q_cascade_delete(spark, sf):
     from functools import reduce as _r
     return _r(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("remaining")).select(
         F.lit(n).alias("table_name"), "remaining") for n, df in out.items()])
+
+
+# ------------------------------------------------------------ logs, lineage, report
+def _logged_runs(spark, sf):
+    """Hybrid retrieval for every benchmark passage, logged (query log + result log)."""
+    def build_log():
+        qs = corpus.benchmark_queries(spark, sf)
+        res = retrieval.retrieve(_sha_index(spark, sf), qs, "hybrid", 5, SHA_EMBEDDING_MODEL)
+        started = F.lit(AS_OF).cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
+                                                                      F.col("query_id").cast("decimal(18,6)"))
+        log = gov.query_log(qs, res, "hybrid", SHA_EMBEDDING_MODEL, started)
+        return log.join(res.select("query_id", "rank", "chunk_id", "document_id", "source_id", "vector_similarity",
+                                   "keyword_score", "hybrid_score"), "query_id", "left")
+    return corpus.stage(spark, sf, "logged-hybrid", build_log)
+
+
+def _query_log(spark, sf):
+    return _logged_runs(spark, sf).select("log_query_id", "query_id", "query_text", "retrieval_mode",
+                                          "embedding_model", "filters", "started_at", "result_count").distinct()
+
+
+def _result_log(spark, sf):
+    return _logged_runs(spark, sf).where(F.col("rank").isNotNull()).select(
+        "log_query_id", "query_id", "rank", "chunk_id", "document_id", "source_id", "vector_similarity",
+        "keyword_score", "hybrid_score")
+
+
+_LOG_SQL = Q.with_ctes(f"""
+  SELECT sha256('query:' || q.query_id || ':hybrid:{SHA_EMBEDDING_MODEL}') AS log_query_id, q.query_id, q.query_text,
+         'hybrid' AS retrieval_mode, '{SHA_EMBEDDING_MODEL}' AS embedding_model,
+         '{{"agency":null,"topic":null,"document_type":null}}' AS filters,
+         TIMESTAMP '{AS_OF}' + to_seconds(q.query_id) AS started_at, CAST(count(t.chunk_id) AS INTEGER) AS result_count
+  FROM queries q LEFT JOIN ({_topk_sql('round(hybrid_score, 9) DESC, round(vector_similarity, 9) DESC')}) t USING (query_id)
+  GROUP BY ALL""", "queries", "scored")
+
+
+@register("search_log", _LOG_SQL)
+def q_search_log(spark, sf):
+    return _query_log(spark, sf)
+
+
+@register("result_lineage", Q.with_ctes(f"""
+  SELECT q.query_text, t.rank, d.title, c.chunk_index, d.source_url, d.version_number, t.document_id
+  FROM ({_topk_sql('round(hybrid_score, 9) DESC, round(vector_similarity, 9) DESC')}) t
+  JOIN queries q USING (query_id) JOIN documents_built d ON d.document_id = t.document_id
+  JOIN chunks c ON c.chunk_id = t.chunk_id""", "scored", "queries", "documents_built", "chunks"))
+def q_result_lineage(spark, sf):
+    """Result log -> query log -> documents -> chunks (citations)."""
+    r = _result_log(spark, sf)
+    q = _query_log(spark, sf).select("log_query_id", "query_text")
+    d = corpus.corpus_documents(spark, sf).select("document_id", "title", "source_url", "version_number")
+    c = corpus.corpus_chunks(spark, sf).select("chunk_id", "chunk_index")
+    return (r.join(q, "log_query_id").join(d, "document_id").join(c, "chunk_id")
+            .select("query_text", "rank", "title", "chunk_index", "source_url", "version_number", "document_id"))
+
+
+@register("report_sources", Q.with_ctes("""
+  SELECT coalesce(l.status, r.last_status) AS last_status, count(*) AS sources
+  FROM registry r LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY fetched_at DESC, event_id DESC) AS rn
+                              FROM fetch_classified) WHERE rn = 1) l USING (source_id)
+  GROUP BY ALL""", "registry", "fetch_classified"))
+def q_report_sources(spark, sf):
+    return gov.report_sources(_registry_now(spark, sf))
+
+
+@register("report_documents", Q.with_ctes("""
+  SELECT document_status, count(*) AS documents, CAST(sum(word_count) AS BIGINT) AS total_words
+  FROM documents_built GROUP BY document_status""", "documents_built"))
+def q_report_documents(spark, sf):
+    return gov.report_documents(corpus.corpus_documents(spark, sf))
+
+
+@register("report_coverage", Q.with_ctes("""
+  SELECT count(DISTINCT document_id) AS chunked_documents, 2 * count(chunk_id) AS chunks, 2 * count(chunk_id) AS embeddings
+  FROM chunks""", "chunks"))
+def q_report_coverage(spark, sf):
+    """A3/J10 with two embedding models: chunks are counted once per model (as reported, B19)."""
+    emb = _embeddings(spark, sf, EMBEDDING_MODEL).unionByName(_embeddings(spark, sf, SHA_EMBEDDING_MODEL))
+    return gov.report_coverage(corpus.corpus_chunks(spark, sf), emb)
+
+
+@register("report_queries", Q.with_ctes(f"""
+  SELECT q.query_text, 'hybrid' AS retrieval_mode, CAST(count(t.chunk_id) AS INTEGER) AS result_count,
+         TIMESTAMP '{AS_OF}' + to_seconds(q.query_id) AS started_at
+  FROM queries q LEFT JOIN ({_topk_sql('round(hybrid_score, 9) DESC, round(vector_similarity, 9) DESC')}) t USING (query_id)
+  GROUP BY ALL ORDER BY started_at DESC LIMIT 5""", "queries", "scored"))
+def q_report_queries(spark, sf):
+    """T5: the five latest logged queries."""
+    return gov.latest(_query_log(spark, sf).select("query_text", "retrieval_mode", "result_count", "started_at"),
+                      "started_at", 5)
+
+
+def _eval_runs(spark, sf):
+    """One evaluation run per retrieval mode over the active questions."""
+    def build():
+        qs = corpus.questions(spark, sf).where("is_active")
+        qt = qs.select(F.col("question_id").alias("query_id"), F.col("question_text").alias("query_text"),
+                       F.col("expected_agency").alias("agency"))
+        rows = []
+        for i, mode in enumerate(("vector", "keyword", "hybrid")):
+            res = retrieval.retrieve(_sha_index(spark, sf), qt, mode, 5, SHA_EMBEDDING_MODEL)
+            s = evaluation.evaluation_summary(evaluation.question_outcomes(res, qs))
+            rows.append(s.select(
+                F.sha2(F.lit(f"evaluation:{mode}"), 256).alias("evaluation_run_id"), F.lit(mode).alias("retrieval_mode"),
+                F.lit(SHA_EMBEDDING_MODEL).alias("embedding_model"), F.lit(5).alias("top_k"),
+                F.col("question_count").cast("int").alias("question_count"),
+                F.col("hit_count").cast("int").alias("hit_count"), "mean_reciprocal_rank",
+                (F.lit(AS_OF).cast("timestamp") + F.expr(f"INTERVAL {i} MINUTES")).alias("started_at"),
+                (F.lit(AS_OF).cast("timestamp") + F.expr(f"INTERVAL {i} MINUTES 30 SECONDS")).alias("completed_at")))
+        from functools import reduce as _r
+        return _r(DataFrame.unionByName, rows)
+    return corpus.stage(spark, sf, "evaluation-runs", build)
+
+
+@register("report_evals")
+def q_report_evals(spark, sf):
+    """T5/C14: latest completed evaluation runs, MRR rounded to 3 digits."""
+    runs = _eval_runs(spark, sf).where(F.col("completed_at").isNotNull())
+    top = gov.latest(runs.select("retrieval_mode", "top_k", "question_count", "hit_count",
+                                 F.round("mean_reciprocal_rank", 3).alias("mrr"), "started_at"), "started_at", 5)
+    return top.drop("started_at")
+
+
+# ------------------------------------------------------------ governance extensions
+@register("dup_exact", """
+  SELECT sha256(text) AS content_hash, count(*) AS copies, min(doc_id) AS first_id FROM documents
+  GROUP BY 1 HAVING count(*) > 1""")
+def q_dup_exact(spark, sf):
+    from parchment.sources.tables import read_table
+    return gov.exact_duplicates(read_table(spark, sf, "documents"))
+
+
+@register("dup_near")
+def q_dup_near(spark, sf):
+    """MinHash banding clusters (approximate by design): rows-only."""
+    from parchment.sources.tables import read_table
+    return gov.near_duplicate_clusters(read_table(spark, sf, "documents"))
+
+
+Q.cte("chunks_200", ("documents_built", "extracted"), Q.chunk_sql(200, 40))
+
+
+@register("stale_embeddings", Q.with_ctes("""
+  SELECT c.chunk_id, c.chunk_hash AS stored_chunk_hash, n.chunk_hash AS current_chunk_hash
+  FROM chunks c JOIN chunks_200 n USING (chunk_id) WHERE c.chunk_hash <> n.chunk_hash""", "chunks", "chunks_200"))
+def q_stale_embeddings(spark, sf):
+    """Chunks re-cut at 200/40 words; embeddings of the 220/40 cut whose chunk changed are stale."""
+    emb = _embeddings(spark, sf, EMBEDDING_MODEL)
+    rechunked = chunking.build_chunks(chunking.pending_chunks(corpus.corpus_documents(spark, sf),
+                                                              corpus.corpus_extracted(spark, sf)), 200, 40)
+    st = embedding.stale_embeddings(emb, rechunked)
+    return st.select("chunk_id", F.col("chunk_hash").alias("stored_chunk_hash"), "current_chunk_hash")
+
+
+@register("chunk_rules", Q.with_ctes("""
+  SELECT n AS checked, rule_name, failed FROM (
+    SELECT count(*) FILTER (WHERE NOT (word_count >= 1 AND word_count <= 220)) AS chunk_words_in_range,
+           count(*) FILTER (WHERE NOT (coalesce(length(chunk_text), 0) > 0)) AS chunk_text_present,
+           count(*) FILTER (WHERE NOT (chunk_hash = sha256(chunk_text))) AS chunk_hash_matches,
+           count(*) FILTER (WHERE NOT (character_count = length(chunk_text))) AS character_count_matches,
+           count(*) AS n FROM chunks)
+  UNPIVOT (failed FOR rule_name IN (chunk_words_in_range, chunk_text_present, chunk_hash_matches,
+                                    character_count_matches))""", "chunks"))
+def q_chunk_rules(spark, sf):
+    return gov.chunk_rule_counts(corpus.corpus_chunks(spark, sf), 220)
+
+
+@register("agency_norm", Q.with_ctes("""
+  SELECT source_id, agency, trim(regexp_replace(lower(agency), '[^a-z0-9]+', ' ', 'g')) AS agency_key,
+         (trim(source_name) <> '' AND trim(agency) <> '' AND trim(source_url) <> '') AS metadata_complete
+  FROM registry""", "registry"))
+def q_agency_norm(spark, sf):
+    return gov.normalise_metadata(fixtures.registry(spark, sf))
+
+
+@register("version_diff", Q.with_ctes("""
+  SELECT source_id, version_number, CAST(sum(greatest(coalesce(c, 0) - coalesce(p, 0), 0)) AS BIGINT) AS added_chunks,
+         CAST(sum(greatest(coalesce(p, 0) - coalesce(c, 0), 0)) AS BIGINT) AS removed_chunks
+  FROM (SELECT coalesce(a.source_id, b.source_id) AS source_id, coalesce(a.version_number, b.version_number) AS version_number,
+               a.c, b.p
+        FROM (SELECT d.source_id, d.version_number, c.chunk_hash, count(*) AS c FROM chunks c JOIN documents_built d USING (document_id) GROUP BY ALL) a
+        FULL OUTER JOIN (SELECT d.source_id, d.version_number + 1 AS version_number, c.chunk_hash, count(*) AS p
+                         FROM chunks c JOIN documents_built d USING (document_id) GROUP BY ALL) b
+          ON a.source_id = b.source_id AND a.version_number = b.version_number AND a.chunk_hash = b.chunk_hash)
+  WHERE (source_id, version_number) IN (SELECT (source_id, version_number) FROM documents_built WHERE version_number > 1)
+  GROUP BY source_id, version_number""", "chunks", "documents_built"))
+def q_version_diff(spark, sf):
+    return gov.version_diff(corpus.corpus_chunks(spark, sf), corpus.corpus_documents(spark, sf))
+
+
+@register("lineage_events", Q.with_ctes(f"""
+  SELECT CAST(event_id AS VARCHAR) AS input_id, 'extract' AS step, extracted_text_id AS output_id FROM extracted
+  UNION ALL SELECT extracted_text_id, 'build_document', document_id FROM documents_built
+  UNION ALL SELECT document_id, 'chunk', chunk_id FROM chunks
+  UNION ALL SELECT chunk_id, 'embed', sha256('embedding:' || chunk_id || ':{EMBEDDING_MODEL}') FROM chunks""",
+                                        "extracted", "documents_built", "chunks"))
+def q_lineage_events(spark, sf):
+    return gov.lineage_edges(corpus.corpus_events(spark, sf), corpus.corpus_extracted(spark, sf),
+                             corpus.corpus_documents(spark, sf), corpus.corpus_chunks(spark, sf),
+                             _embeddings(spark, sf, EMBEDDING_MODEL))
+
+
+@register("weak_citations", Q.with_ctes(f"""
+  SELECT query_id, count(*) AS results,
+         count(*) FILTER (WHERE hybrid_score < 0.3 OR keyword_score <= 0) AS weak_results,
+         round(avg(hybrid_score), 6) AS mean_hybrid_score, round(min(hybrid_score), 6) AS min_hybrid_score
+  FROM ({_topk_sql('round(hybrid_score, 9) DESC, round(vector_similarity, 9) DESC')}) GROUP BY query_id""", "scored"))
+def q_weak_citations(spark, sf):
+    w = gov.weak_citations(_result_log(spark, sf))
+    return _round_cols(w, ["mean_hybrid_score", "min_hybrid_score"])
