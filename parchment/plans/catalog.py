@@ -1062,3 +1062,16 @@ def q_lineage_events(spark, sf):
 def q_weak_citations(spark, sf):
     w = gov.weak_citations(_result_log(spark, sf))
     return _round_cols(w, ["mean_hybrid_score", "min_hybrid_score"])
+
+
+# ------------------------------------------------------------ streaming
+@register("stream_changes", Q.with_ctes("""
+  SELECT event_id, source_id, status, previous_hash FROM fetch_classified""", "fetch_classified"))
+def q_stream_changes(spark, sf):
+    """The stateful stream gives the same statuses as the batch scan."""
+    import uuid
+
+    from parchment.streaming.changes import run_change_detection
+    work = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
+    out = run_change_detection(spark, fixtures.fetch_log(spark, sf), work)
+    return out.select("event_id", "source_id", "status", "previous_hash")
