@@ -57,16 +57,40 @@ def cover_density(occ: F.Column, n_terms: F.Column) -> F.Column:
     return F.aggregate(F.sequence(F.lit(0), m - 1), zero, step, lambda acc: acc["score"])
 
 
-def keyword_pairs(index: DataFrame, queries: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
-    """(query_id, chunk_id, keyword_score, *carry) for every pair holding all query terms."""
-    qt = bounded_broadcast(query_terms(queries))
-    post = index.select("chunk_id", *carry, F.posexplode(tokens("chunk_text")).alias("pos", "term"))
-    hits = post.join(qt, "term", "inner")
-    grouped = hits.groupBy("query_id", "chunk_id").agg(
+def postings(index: DataFrame) -> DataFrame:
+    """(chunk_id, pos, term): every token position of every chunk (map-only)."""
+    return index.select("chunk_id", F.posexplode(tokens("chunk_text")).alias("pos", "term"))
+
+
+def keyword_pairs(index: DataFrame, queries: DataFrame, post: DataFrame | None = None) -> DataFrame:
+    """(query_id, chunk_id, keyword_score) for every pair holding all query terms.
+
+    AND queries are evaluated rarest term first, so a common term never
+    multiplies its occurrences by every query that contains it:
+
+    1. occurrences of any query term (semi-join with the bounded term list);
+    2. document frequency of each query term -> each query's rarest term;
+    3. candidate chunks of a query = chunks holding its rarest term;
+    4. positions of all terms are fetched for candidate pairs only, then
+       gathered per (query, chunk) and scored with one fold.
+    """
+    from parchment.session import materialize
+
+    qt = query_terms(queries)
+    post = postings(index) if post is None else post
+    terms = bounded_broadcast(qt.select("term").distinct())
+    hits = materialize(post.join(terms, "term", "left_semi"), "term-hits")
+    dfreq = hits.select("term", "chunk_id").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    rare = (qt.join(dfreq, "term", "left").groupBy("query_id")
+            .agg(F.min_by("term", F.coalesce(F.col("df"), F.lit(0))).alias("term"),
+                 F.min(F.coalesce(F.col("df"), F.lit(0))).alias("_min_df"))
+            .where(F.col("_min_df") > 0).select("query_id", "term"))
+    cand = hits.join(bounded_broadcast(rare), "term").select("query_id", "chunk_id").distinct()
+    wanted = cand.join(bounded_broadcast(qt), "query_id")          # (query, chunk, term) to look up
+    occ = hits.join(bounded_broadcast(wanted), ["chunk_id", "term"])
+    grouped = occ.groupBy("query_id", "chunk_id").agg(
         F.first("n_terms").alias("n_terms"),
         F.count_distinct("term_idx").alias("_found"),
-        F.array_sort(F.collect_list(F.struct("pos", "term_idx"))).alias("_occ"),
-        *[F.first(c).alias(c) for c in carry])
+        F.array_sort(F.collect_list(F.struct("pos", "term_idx"))).alias("_occ"))
     full = grouped.where(F.col("_found") == F.col("n_terms"))
-    return full.select("query_id", "chunk_id", *carry,
-                       cover_density(F.col("_occ"), F.col("n_terms")).alias("keyword_score"))
+    return full.select("query_id", "chunk_id", cover_density(F.col("_occ"), F.col("n_terms")).alias("keyword_score"))
