@@ -1075,3 +1075,49 @@ def q_stream_changes(spark, sf):
     work = f"{checkpoint_root(spark)}/stream-{uuid.uuid4().hex}"
     out = run_change_detection(spark, fixtures.fetch_log(spark, sf), work)
     return out.select("event_id", "source_id", "status", "previous_hash")
+
+
+# ------------------------------------------------------------ more retrieval forms
+@register("hybrid_filtered", Q.with_ctes(_result_sql(_topk_sql(
+    "round(hybrid_score, 9) DESC, round(vector_similarity, 9) DESC",
+    "WHERE topic ILIKE '%topic (1)%' AND document_type ILIKE '%html%'")), "scored"))
+def q_hybrid_filtered(spark, sf):
+    """the same query table with topic and document-type filters on every query."""
+    q = corpus.benchmark_queries(spark, sf).withColumn("topic", F.lit(" topic (1) ")) \
+        .withColumn("document_type", F.lit("html"))
+    r = retrieval.retrieve(_sha_index(spark, sf), q, "hybrid", 5, SHA_EMBEDDING_MODEL)
+    return _result_select(r)
+
+
+@register("dense_cosine_topk", """
+  WITH v AS (SELECT vec_id, label, unnest(embedding) AS x, unnest(range(len(embedding))) AS i FROM embeddings),
+  c AS (SELECT label, i, avg(CAST(x AS DOUBLE)) AS cx FROM v GROUP BY label, i),
+  dots AS (SELECT c.label AS query_id, v.vec_id, sum(CAST(v.x AS DOUBLE) * c.cx) AS dot FROM v JOIN c USING (i) GROUP BY ALL),
+  vn AS (SELECT vec_id, sqrt(sum(CAST(x AS DOUBLE) * CAST(x AS DOUBLE))) AS n FROM v GROUP BY vec_id),
+  cn AS (SELECT label, sqrt(sum(cx * cx)) AS n FROM c GROUP BY label),
+  s AS (SELECT d.query_id, d.vec_id, CASE WHEN vn.n * cn.n = 0 THEN 0.0 ELSE d.dot / (vn.n * cn.n) END AS sim
+        FROM dots d JOIN vn USING (vec_id) JOIN cn ON cn.label = d.query_id)
+  SELECT query_id AS label, CAST(rank AS INTEGER) AS rank, vec_id, round(sim, 6) AS similarity
+  FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 9) DESC, vec_id) AS rank FROM s)
+  WHERE rank <= 5""")
+def q_dense_cosine_topk(spark, sf):
+    """C13 on given dense vectors: the 5 vectors closest to each label's centroid.
+
+    Centroids are a (label, slot) aggregation; the bounded centroid table is
+    scored against all vectors by the map-side partial top-k pass.
+    """
+    vec = fixtures.vectors(spark, sf)
+    slots = vec.select("label", F.posexplode("embedding").alias("i", "x"))
+    cent = (slots.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("cx"))
+            .groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "cx"))).alias("_c")))
+    rows = cent.select(F.col("label").alias("query_id"),
+                       F.transform("_c", lambda s: s["cx"]).alias("query_embedding")).limit(
+        retrieval.MAX_QUERIES_PER_PASS + 1).collect()
+    if len(rows) > retrieval.MAX_QUERIES_PER_PASS:
+        raise ValueError("more labels than one scoring pass holds")
+    index = vec.select("vec_id", "embedding", F.col("vec_id").alias("chunk_id"),
+                       F.lit("").alias("document_id"), F.col("vec_id").alias("chunk_index"))
+    cand = retrieval.score_against(index, rows, 5, ("vec_id", "chunk_id", "document_id", "chunk_index"),
+                                   vec.schema["label"].dataType)
+    top = retrieval.top_k_per_query(cand, [F.round("vector_similarity", 9).desc(), F.col("vec_id")], 5)
+    return top.select(F.col("query_id").alias("label"), "rank", "vec_id", r6("vector_similarity").alias("similarity"))
