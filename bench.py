@@ -39,6 +39,7 @@ def main() -> None:
     timed("stage_chunks", lambda: corpus.corpus_chunks(spark, sf_dir))
     timed("stage_index_exact", lambda: corpus.corpus_index(spark, sf_dir, EMBEDDING_MODEL))
     timed("stage_index_sha", lambda: corpus.corpus_index(spark, sf_dir, SHA_EMBEDDING_MODEL))
+    timed("stage_postings_sha", lambda: corpus.corpus_postings(spark, sf_dir, SHA_EMBEDDING_MODEL))
     timed("stage_questions", lambda: corpus.questions(spark, sf_dir))
 
     headline = ["fetch_classify", "html_text", "doc_versions", "chunk_words", "embed_hash_exact",

@@ -55,7 +55,7 @@ def reranker_pipeline(ngram_max: int, c: float, weight_sum: float,
         Normalizer(inputCol="_tfidf", outputCol="features", p=2.0),
         LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
                            regParam=1.0 / (c * weight_sum), elasticNetParam=0.0, standardization=False,
-                           maxIter=100, family="binomial"),
+                           maxIter=50, family="binomial"),
     ]
     return Pipeline(stages=stages)
 

@@ -303,6 +303,10 @@ def _sha_index(spark, sf):
     return corpus.corpus_index(spark, sf, SHA_EMBEDDING_MODEL)
 
 
+def _sha_postings(spark, sf):
+    return corpus.corpus_postings(spark, sf, SHA_EMBEDDING_MODEL)
+
+
 def _topk_sql(order: str, where: str = "", k: int = 5) -> str:
     return f"""
   SELECT * FROM (
@@ -339,7 +343,7 @@ def _result_sql(inner: str) -> str:
 @register("keyword_score", Q.with_ctes("""
   SELECT query_id, chunk_id, round(keyword_score, 6) AS keyword_score FROM keyword""", "keyword"))
 def q_keyword_score(spark, sf):
-    kw = keyword.keyword_pairs(_sha_index(spark, sf), corpus.benchmark_queries(spark, sf))
+    kw = keyword.keyword_pairs(_sha_index(spark, sf), corpus.benchmark_queries(spark, sf), _sha_postings(spark, sf))
     return kw.select("query_id", "chunk_id", r6("keyword_score").alias("keyword_score"))
 
 
@@ -347,7 +351,7 @@ def q_keyword_score(spark, sf):
     "round(keyword_score, 9) DESC, round(vector_similarity, 9) DESC", "WHERE keyword_score > 0")), "scored"))
 def q_keyword_topk(spark, sf):
     r = retrieval.retrieve(_sha_index(spark, sf), corpus.benchmark_queries(spark, sf), "keyword", 5,
-                           SHA_EMBEDDING_MODEL)
+                           SHA_EMBEDDING_MODEL, _sha_postings(spark, sf))
     return _result_select(r)
 
 
@@ -355,7 +359,7 @@ def q_keyword_topk(spark, sf):
     "round(hybrid_score, 9) DESC, round(vector_similarity, 9) DESC")), "scored"))
 def q_hybrid_topk(spark, sf):
     r = retrieval.retrieve(_sha_index(spark, sf), corpus.benchmark_queries(spark, sf), "hybrid", 5,
-                           SHA_EMBEDDING_MODEL)
+                           SHA_EMBEDDING_MODEL, _sha_postings(spark, sf))
     return _result_select(r)
 
 
@@ -368,7 +372,7 @@ def _eval_results(spark, sf):
     qs = corpus.questions(spark, sf).where("is_active")
     qt = qs.select(F.col("question_id").alias("query_id"), F.col("question_text").alias("query_text"),
                    F.col("expected_agency").alias("agency"))   # B15: the expected agency filters
-    res = retrieval.retrieve(_sha_index(spark, sf), qt, "hybrid", 5, SHA_EMBEDDING_MODEL)
+    res = retrieval.retrieve(_sha_index(spark, sf), qt, "hybrid", 5, SHA_EMBEDDING_MODEL, _sha_postings(spark, sf))
     return evaluation.question_outcomes(res, qs)
 
 
@@ -399,7 +403,7 @@ def candidate_set(spark, sf, limit: int = CANDIDATE_LIMIT) -> DataFrame:
 def _build_candidates(spark, sf, limit: int) -> DataFrame:
     qs = corpus.questions(spark, sf).where("is_active")
     qt = qs.select(F.col("question_id").alias("query_id"), F.col("question_text").alias("query_text"))
-    res = retrieval.retrieve(_sha_index(spark, sf), qt, "hybrid", limit, SHA_EMBEDDING_MODEL)
+    res = retrieval.retrieve(_sha_index(spark, sf), qt, "hybrid", limit, SHA_EMBEDDING_MODEL, _sha_postings(spark, sf))
     j = res.join(qs.select(F.col("question_id").alias("query_id"), "question_text", "expected_title_contains",
                            "expected_source_url", "expected_agency"), "query_id")
     label = evaluation.expectation_match("title", "source_url", "agency", "expected_title_contains",
@@ -859,7 +863,7 @@ def _logged_runs(spark, sf):
     """Hybrid retrieval for every benchmark passage, logged (query log + result log)."""
     def build_log():
         qs = corpus.benchmark_queries(spark, sf)
-        res = retrieval.retrieve(_sha_index(spark, sf), qs, "hybrid", 5, SHA_EMBEDDING_MODEL)
+        res = retrieval.retrieve(_sha_index(spark, sf), qs, "hybrid", 5, SHA_EMBEDDING_MODEL, _sha_postings(spark, sf))
         started = F.lit(AS_OF).cast("timestamp") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0),
                                                                       F.col("query_id").cast("decimal(18,6)"))
         log = gov.query_log(qs, res, "hybrid", SHA_EMBEDDING_MODEL, started)
@@ -952,7 +956,7 @@ def _eval_runs(spark, sf):
                        F.col("expected_agency").alias("agency"))
         rows = []
         for i, mode in enumerate(("vector", "keyword", "hybrid")):
-            res = retrieval.retrieve(_sha_index(spark, sf), qt, mode, 5, SHA_EMBEDDING_MODEL)
+            res = retrieval.retrieve(_sha_index(spark, sf), qt, mode, 5, SHA_EMBEDDING_MODEL, _sha_postings(spark, sf))
             s = evaluation.evaluation_summary(evaluation.question_outcomes(res, qs))
             rows.append(s.select(
                 F.sha2(F.lit(f"evaluation:{mode}"), 256).alias("evaluation_run_id"), F.lit(mode).alias("retrieval_mode"),
@@ -1085,7 +1089,7 @@ def q_hybrid_filtered(spark, sf):
     """the same query table with topic and document-type filters on every query."""
     q = corpus.benchmark_queries(spark, sf).withColumn("topic", F.lit(" topic (1) ")) \
         .withColumn("document_type", F.lit("html"))
-    r = retrieval.retrieve(_sha_index(spark, sf), q, "hybrid", 5, SHA_EMBEDDING_MODEL)
+    r = retrieval.retrieve(_sha_index(spark, sf), q, "hybrid", 5, SHA_EMBEDDING_MODEL, _sha_postings(spark, sf))
     return _result_select(r)
 
 
@@ -1121,3 +1125,14 @@ def q_dense_cosine_topk(spark, sf):
                                    vec.schema["label"].dataType)
     top = retrieval.top_k_per_query(cand, [F.round("vector_similarity", 9).desc(), F.col("vec_id")], 5)
     return top.select(F.col("query_id").alias("label"), "rank", "vec_id", r6("vector_similarity").alias("similarity"))
+
+
+
+@register("extraction_summary", Q.with_ctes("""
+  SELECT extraction_status, extraction_method, count(*) AS objects,
+         CAST(sum(character_count) AS BIGINT) AS characters FROM extracted GROUP BY ALL""", "extracted"))
+def q_extraction_summary(spark, sf):
+    """Extraction outcome counters."""
+    ex = corpus.corpus_extracted(spark, sf)
+    return ex.groupBy("extraction_status", "extraction_method").agg(
+        F.count(F.lit(1)).alias("objects"), F.sum("character_count").cast("long").alias("characters"))

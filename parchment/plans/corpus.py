@@ -85,6 +85,12 @@ def corpus_index(spark: SparkSession, sf_dir: str, model: str = EMBEDDING_MODEL)
     return _INDEX_CACHE[key]
 
 
+def corpus_postings(spark: SparkSession, sf_dir: str, model: str = EMBEDDING_MODEL) -> DataFrame:
+    """The index's postings (chunk_id, pos, term), written once next to the index (an inverted index)."""
+    from parchment.operators.keyword import postings
+    return stage(spark, sf_dir, f"postings-{model}", lambda: postings(corpus_index(spark, sf_dir, model)))
+
+
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Query table: every benchmark passage is one query (no filters)."""
     from parchment.sources.tables import read_table

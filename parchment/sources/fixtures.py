@@ -128,27 +128,29 @@ def passage_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     A substring test between two tables is a theta join; instead every
     passage contributes an anchor of whole words that any containing document
     must hold as consecutive words (its 2nd-4th words; the first and last may
-    be cut).  Documents' word trigrams are equi-joined to the anchors and each
-    candidate is then verified with ``instr`` on the whole texts.
+    be cut).  Documents' word trigrams, hashed, are equi-joined to the hashed
+    anchors and each candidate is then verified with ``instr`` on the whole
+    texts (so hash collisions cannot add a match).
     """
     bench = read_table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage"))
     bw = bench.withColumn("_w", words("passage")).withColumn("_m", F.size("_w"))
     anchors = bw.select(
         "item_id",
-        F.when(F.col("_m") >= 5, F.concat_ws(" ", F.slice("_w", 2, 3)))
-         .when(F.col("_m") >= 3, F.element_at("_w", 2))
-         .otherwise(F.element_at("_w", 1)).alias("anchor"),
+        F.when(F.col("_m") >= 5, F.xxhash64(F.slice("_w", 2, 3)))
+         .when(F.col("_m") >= 3, F.xxhash64(F.element_at("_w", 2)))
+         .otherwise(F.xxhash64(F.element_at("_w", 1))).alias("anchor"),
         F.when(F.col("_m") >= 5, F.lit(3)).otherwise(F.lit(1)).alias("anchor_len"))
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     dw = docs.select("doc_id", words("text").alias("_w"))
     # word trigrams via slicing the array (no self-join)
-    tri3 = dw.select("doc_id", F.explode(F.transform(
+    tri3 = dw.select("doc_id", F.explode(F.array_distinct(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("_w") - 2, F.lit(1))),
-        lambda i: F.concat_ws(" ", F.slice("_w", i, 3)))).alias("anchor"))
+        lambda i: F.xxhash64(F.slice("_w", i, 3))))).alias("anchor"))
     small = bounded_broadcast(anchors, MAX_BROADCAST_ROWS)
     cand = tri3.join(small.where("anchor_len = 3"), "anchor").select("item_id", "doc_id")
     if anchors.where("anchor_len = 1").limit(1).count() > 0:
-        uni = dw.select("doc_id", F.explode("_w").alias("anchor"))
+        uni = dw.select("doc_id", F.explode(F.array_distinct(F.transform("_w", lambda x: F.xxhash64(x))))
+                        .alias("anchor"))
         cand = cand.unionByName(
             uni.join(small.where("anchor_len = 1"), "anchor").select("item_id", "doc_id"))
     cand = cand.distinct()

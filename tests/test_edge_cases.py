@@ -244,3 +244,15 @@ def test_pending_sets_are_empty_on_rerun(spark):
 
 def test_exact_blake2b_model_is_default():
     assert EMBEDDING_MODEL == "local_hashing_v1"
+
+
+def test_binary_landing_hash_and_decode(spark, tmp_path):
+    from parchment.sources.raw import read_raw_objects, work_order
+    (tmp_path / "a.html").write_bytes("<p>café</p>".encode() + b"\xff")
+    rows = read_raw_objects(spark, str(tmp_path), "*.html").collect()
+    assert len(rows) == 1
+    assert rows[0]["content_hash"] == hashlib.sha256("<p>café</p>".encode() + b"\xff").hexdigest()
+    assert rows[0]["raw_text"] == "<p>café</p>"
+    df = spark.createDataFrame([(3,), (1,), (2,)], "x int")
+    assert [r[0] for r in work_order(df, ["x"], 2).collect()] == [1, 2]
+    assert work_order(df, ["x"], 0).count() == 3
