@@ -970,13 +970,28 @@ def _eval_runs(spark, sf):
     return corpus.stage(spark, sf, "evaluation-runs", build)
 
 
-@register("report_evals")
+def _eval_mode_sql(mode: str) -> str:
+    order = {"vector": "round(vector_similarity, 9) DESC",
+             "keyword": "round(keyword_score, 9) DESC, round(vector_similarity, 9) DESC",
+             "hybrid": "round(hybrid_score, 9) DESC, round(vector_similarity, 9) DESC"}[mode]
+    where = "WHERE keyword_score > 0" if mode == "keyword" else ""
+    return f"""
+  SELECT '{mode}' AS retrieval_mode, 5 AS top_k, CAST(count(*) AS INTEGER) AS question_count,
+         CAST(count(fr) AS INTEGER) AS hit_count, round(coalesce(sum(coalesce(1.0 / fr, 0.0)) / nullif(count(*), 0), 0.0), 3) AS mrr
+  FROM eval_queries q LEFT JOIN (
+    SELECT query_id, min(CASE WHEN {Q.match_sql()} THEN rank END) AS fr
+    FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY {order}, document_id, chunk_index) AS rank
+          FROM eval_scored {where}) WHERE rank <= 5 GROUP BY query_id) t USING (query_id)"""
+
+
+@register("report_evals", Q.with_ctes("\n  UNION ALL".join(_eval_mode_sql(m) for m in ("vector", "keyword", "hybrid")),
+                                      "eval_scored", "eval_queries"))
 def q_report_evals(spark, sf):
     """T5/C14: latest completed evaluation runs, MRR rounded to 3 digits."""
     runs = _eval_runs(spark, sf).where(F.col("completed_at").isNotNull())
     top = gov.latest(runs.select("retrieval_mode", "top_k", "question_count", "hit_count",
                                  F.round("mean_reciprocal_rank", 3).alias("mrr"), "started_at"), "started_at", 5)
-    return top.drop("started_at")
+    return top.drop("started_at").withColumn("top_k", F.col("top_k").cast("int"))
 
 
 # ------------------------------------------------------------ governance extensions
