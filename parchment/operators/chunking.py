@@ -35,13 +35,14 @@ def chunk_text(df: DataFrame, text: str = "extracted_text", chunk_words: int = C
     check_chunk_args(chunk_words, overlap_words)
     step = chunk_words - overlap_words
     w = df.select(*keep, words(text).alias("_w"))
-    w = w.withColumn("_k", chunk_count(F.size("_w"), chunk_words, overlap_words))
-    exploded = w.select(*keep, "_w", F.explode(F.sequence(F.lit(1), F.col("_k"))).alias("chunk_index")) \
-        .where(F.col("_k") > 0)
-    body = F.array_join(F.slice("_w", (F.col("chunk_index") - 1) * step + 1, chunk_words), " ")
-    out = exploded.select(*keep, F.col("chunk_index").cast("int").alias("chunk_index"), body.alias("chunk_text"),
-                          F.least(F.size("_w") - (F.col("chunk_index") - 1) * step, F.lit(chunk_words))
-                          .cast("int").alias("word_count"))
+    w = w.withColumn("_k", chunk_count(F.size("_w"), chunk_words, overlap_words)).where(F.col("_k") > 0)
+    # windows are cut inside the row, so only the chunk texts (not the whole
+    # word array) are copied onto the exploded rows
+    windows = F.transform(F.sequence(F.lit(1), F.col("_k")), lambda i: F.struct(
+        i.cast("int").alias("chunk_index"),
+        F.array_join(F.slice("_w", (i - 1) * step + 1, chunk_words), " ").alias("chunk_text"),
+        F.least(F.size("_w") - (i - 1) * step, F.lit(chunk_words)).cast("int").alias("word_count")))
+    out = w.select(*keep, F.inline(windows))
     return (out.withColumn("chunk_hash", F.sha2("chunk_text", 256))
             .withColumn("character_count", F.length("chunk_text").cast("int")))
 

@@ -205,7 +205,7 @@ def near_duplicate_clusters(docs: DataFrame, key: str = "doc_id", text: str = "t
     w = docs.select(key, words(text).alias("_w"))
     sh = w.select(key, F.explode(F.transform(
         F.sequence(F.lit(1), F.greatest(F.size("_w") - shingle + 1, F.lit(1))),
-        lambda i: F.xxhash64(F.slice("_w", i, shingle)))).alias("_sh")).where(F.size("_w") > 0)
+        lambda i: F.xxhash64(F.concat_ws(" ", F.slice("_w", i, shingle))))).alias("_sh")).where(F.size("_w") > 0)
     sig = sh.groupBy(key).agg(*[F.min(F.xxhash64(F.lit(i), F.col("_sh"))).alias(f"_m{i}")
                                 for i in range(num_hashes)])
     per = num_hashes // bands

@@ -52,8 +52,11 @@ def classify_fetches(fetches: DataFrame, registry: DataFrame, raw_dir: str = "da
     """
     reg = registry.select("source_id", F.col("current_hash").alias("_initial"),
                           "source_type", "source_url")
-    scanned = last_known_before(fetches, ["source_id"], ["fetched_at", "event_id"],
+    narrow = ["event_id", "source_id", "fetched_at", "content_hash"]
+    scanned = last_known_before(fetches.select(*narrow), ["source_id"], ["fetched_at", "event_id"],
                                 "content_hash", "_prev")
+    if set(fetches.columns) != set(narrow):  # wide rows (e.g. content) skip the scan's shuffles
+        scanned = fetches.join(scanned.select("event_id", "_prev"), "event_id", "inner")
     joined = scanned.join(reg, "source_id", "left")
     prev = F.coalesce(F.col("_prev"), F.col("_initial"))
     status = (F.when(F.col("content_hash").isNull(), "failed")
