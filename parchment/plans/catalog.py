@@ -599,7 +599,40 @@ def q_rerank_apply(spark, sf):
                       r6("blended_score").alias("blended_score"))
 
 
-@register("metrics_row")
+@register("metrics_row", Q.with_ctes(f"""
+  , cs AS (SELECT c.*, s.split FROM candidates c JOIN split_of s USING (question_id)),
+  sweep AS (SELECT weight, count(*) AS questions, count(first) / count(*) AS hit_rate_at_5,
+                   sum(coalesce(1.0 / first, 0.0)) / count(*) AS mrr, sum(prec) / count(*) AS precision_at_5
+            FROM (SELECT weight, question_id, min(CASE WHEN label = 1 THEN r END) AS first, sum(label) / count(*) AS prec
+                  FROM (SELECT *, row_number() OVER (PARTITION BY weight, question_id
+                                   ORDER BY weight * vector_similarity + (1.0 - weight) * hybrid_score DESC, candidate_rank) AS r
+                        FROM (SELECT * FROM cs WHERE split = 'validation') CROSS JOIN (SELECT unnest(range(0, 11)) / 10.0 AS weight))
+                  WHERE r <= 5 GROUP BY weight, question_id)
+            GROUP BY weight),
+  best AS (SELECT weight AS selected_model_weight FROM sweep
+           ORDER BY mrr DESC, hit_rate_at_5 DESC, precision_at_5 DESC, weight ASC LIMIT 1),
+  base AS (SELECT round(sum(coalesce(1.0 / first, 0.0)) / count(*), 6) AS baseline_mrr,
+                  round(count(first) / count(*), 6) AS baseline_hit_rate_at_5
+           FROM (SELECT question_id, min(CASE WHEN label = 1 THEN r END) AS first
+                 FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY hybrid_score DESC, candidate_rank) AS r
+                       FROM cs WHERE split = 'test') WHERE r <= 5 GROUP BY question_id)),
+  ap AS (SELECT round(coalesce(sum(CASE WHEN P > 0 THEN (tp / P) * (ctp / cn) END), 0.0), 6) AS test_average_precision
+         FROM (SELECT probability, tp, sum(tp) OVER w AS ctp, sum(n) OVER w AS cn, sum(tp) OVER () AS P
+               FROM (SELECT vector_similarity AS probability, sum(label) AS tp, count(*) AS n FROM cs WHERE split = 'test'
+                     GROUP BY 1)
+               WINDOW w AS (ORDER BY probability DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))),
+  pr AS (SELECT round(coalesce(tp / nullif(tp + fp, 0), 0.0), 6) AS test_precision,
+                round(coalesce(tp / nullif(tp + fn, 0), 0.0), 6) AS test_recall
+         FROM (SELECT count(*) FILTER (WHERE vector_similarity >= 0.5 AND label = 1) AS tp,
+                      count(*) FILTER (WHERE vector_similarity >= 0.5 AND label = 0) AS fp,
+                      count(*) FILTER (WHERE vector_similarity < 0.5 AND label = 1) AS fn FROM cs WHERE split = 'test')),
+  counts AS (SELECT count(DISTINCT question_id) AS question_count,
+                    count(DISTINCT question_id) FILTER (WHERE split = 'train') AS train_questions,
+                    count(DISTINCT question_id) FILTER (WHERE split = 'validation') AS validation_questions,
+                    count(DISTINCT question_id) FILTER (WHERE split = 'test') AS test_questions,
+                    CAST(sum(label) AS BIGINT) AS positive_examples, count(*) FILTER (WHERE label = 0) AS negative_examples
+             FROM cs)
+  SELECT * FROM counts, best, base, ap, pr""", "candidates", "split_of"))
 def q_metrics_row(spark, sf):
     """One metrics record (counts, selected weight, baseline vs blended on test, AP, P/R)."""
     data = _split_candidates(spark, sf).withColumn("probability", F.col("vector_similarity"))
