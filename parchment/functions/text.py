@@ -23,9 +23,9 @@ def collapse_ws(col) -> Column:
 
 
 def words(col) -> Column:
-    """``str.split()`` – whitespace-separated words, no empty strings."""
-    collapsed = collapse_ws(col)
-    return F.when(collapsed == "", F.array().cast("array<string>")).otherwise(F.split(collapsed, " "))
+    """``str.split()`` – whitespace-separated words, no empty strings (two regex passes)."""
+    stripped = strip_ws(col)
+    return F.when(stripped == "", F.array().cast("array<string>")).otherwise(F.split(stripped, f"{WS_CLASS}+"))
 
 
 def word_count(col) -> Column:

@@ -55,12 +55,12 @@ def grouped_metrics(scored: DataFrame, score: str, k: int = DEFAULT_TOP_K, group
                     tie: str = "candidate_rank") -> DataFrame:
     """hit@k, MRR and mean precision@k over questions.
 
-    Rows are ranked per question by ``score`` (descending; ties keep the
-    candidate order).  Precision divides by the rows returned (at most k).
+    Rows are ranked per question by ``score`` rounded to 9 digits (descending;
+    ties keep the candidate order).  Precision divides by the rows returned (at most k).
     Per question at most the candidates of one question are ranked (bounded
     by the candidate limit).
     """
-    w = Window.partitionBy(group).orderBy(F.col(score).desc(), F.col(tie).asc())
+    w = Window.partitionBy(group).orderBy(F.round(F.col(score), 9).desc(), F.col(tie).asc())
     top = scored.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
     per_q = top.groupBy(group).agg(
         F.min(F.when(F.col("label") == 1, F.col("_r"))).alias("_first"),
@@ -121,7 +121,7 @@ def blend_sweep(scored: DataFrame, prob: str = "probability", hybrid: str = "hyb
     """Grouped metrics for every weight 0.0..1.0 (one job: the weight grid is a column)."""
     crossed = (scored.withColumn("weight", F.explode(F.array(*[F.lit(float(w)) for w in weights])))
                .withColumn("_s", blend(prob, hybrid, F.col("weight"))))
-    w = Window.partitionBy("weight", "question_id").orderBy(F.col("_s").desc(), F.col("candidate_rank").asc())
+    w = Window.partitionBy("weight", "question_id").orderBy(F.round("_s", 9).desc(), F.col("candidate_rank").asc())
     top = crossed.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k)
     per_q = top.groupBy("weight", "question_id").agg(
         F.min(F.when(F.col("label") == 1, F.col("_r"))).alias("_first"),

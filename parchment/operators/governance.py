@@ -200,12 +200,16 @@ def near_duplicate_clusters(docs: DataFrame, key: str = "doc_id", text: str = "t
     smallest id over the groups of its bands (one hop).  Work is linear in
     the text; a hot band value is an aggregation, never a pair list.
     """
+    from pyspark.ml.feature import NGram
+
     from parchment.functions.text import words
 
     w = docs.select(key, words(text).alias("_w"))
-    sh = w.select(key, F.explode(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("_w") - shingle + 1, F.lit(1))),
-        lambda i: F.xxhash64(F.concat_ws(" ", F.slice("_w", i, shingle))))).alias("_sh")).where(F.size("_w") > 0)
+    ng = NGram(n=shingle, inputCol="_w", outputCol="_ng").transform(w)
+    # a text shorter than one shingle is one shingle of all its words
+    grams = F.when(F.size("_ng") > 0, F.col("_ng")).otherwise(F.array(F.array_join("_w", " ")))
+    sh = (ng.select(key, F.explode(grams).alias("_g")).where(F.col("_g") != "")
+          .select(key, F.xxhash64("_g").alias("_sh")))
     sig = sh.groupBy(key).agg(*[F.min(F.xxhash64(F.lit(i), F.col("_sh"))).alias(f"_m{i}")
                                 for i in range(num_hashes)])
     per = num_hashes // bands

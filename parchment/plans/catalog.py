@@ -437,7 +437,7 @@ def _metrics_sql(score: str, src: str = "candidates", k: int = 5) -> str:
          round(coalesce(sum(coalesce(1.0 / first, 0.0)) / nullif(count(*), 0), 0.0), 6) AS mrr,
          round(coalesce(sum(prec) / nullif(count(*), 0), 0.0), 6) AS precision_at_{k}
   FROM (SELECT question_id, min(CASE WHEN label = 1 THEN r END) AS first, sum(label) / count(*) AS prec
-        FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY {score} DESC, candidate_rank) AS r
+        FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY round({score}, 9) DESC, candidate_rank) AS r
               FROM {src}) WHERE r <= {k} GROUP BY question_id)"""
 
 
@@ -505,7 +505,7 @@ def _sweep_sql(src: str) -> str:
          round(sum(prec) / count(*), 6) AS precision_at_5
   FROM (SELECT weight, question_id, min(CASE WHEN label = 1 THEN r END) AS first, sum(label) / count(*) AS prec
         FROM (SELECT *, row_number() OVER (PARTITION BY weight, question_id
-                                           ORDER BY weight * vector_similarity + (1.0 - weight) * hybrid_score DESC,
+                                           ORDER BY round(weight * vector_similarity + (1.0 - weight) * hybrid_score, 9) DESC,
                                                     candidate_rank) AS r
               FROM {src} CROSS JOIN (SELECT unnest(range(0, 11)) / 10.0 AS weight))
         WHERE r <= 5 GROUP BY weight, question_id)
@@ -605,7 +605,7 @@ def q_rerank_apply(spark, sf):
                    sum(coalesce(1.0 / first, 0.0)) / count(*) AS mrr, sum(prec) / count(*) AS precision_at_5
             FROM (SELECT weight, question_id, min(CASE WHEN label = 1 THEN r END) AS first, sum(label) / count(*) AS prec
                   FROM (SELECT *, row_number() OVER (PARTITION BY weight, question_id
-                                   ORDER BY weight * vector_similarity + (1.0 - weight) * hybrid_score DESC, candidate_rank) AS r
+                                   ORDER BY round(weight * vector_similarity + (1.0 - weight) * hybrid_score, 9) DESC, candidate_rank) AS r
                         FROM (SELECT * FROM cs WHERE split = 'validation') CROSS JOIN (SELECT unnest(range(0, 11)) / 10.0 AS weight))
                   WHERE r <= 5 GROUP BY weight, question_id)
             GROUP BY weight),
@@ -614,7 +614,7 @@ def q_rerank_apply(spark, sf):
   base AS (SELECT round(sum(coalesce(1.0 / first, 0.0)) / count(*), 6) AS baseline_mrr,
                   round(count(first) / count(*), 6) AS baseline_hit_rate_at_5
            FROM (SELECT question_id, min(CASE WHEN label = 1 THEN r END) AS first
-                 FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY hybrid_score DESC, candidate_rank) AS r
+                 FROM (SELECT *, row_number() OVER (PARTITION BY question_id ORDER BY round(hybrid_score, 9) DESC, candidate_rank) AS r
                        FROM cs WHERE split = 'test') WHERE r <= 5 GROUP BY question_id)),
   ap AS (SELECT round(coalesce(sum(CASE WHEN P > 0 THEN (tp / P) * (ctp / cn) END), 0.0), 6) AS test_average_precision
          FROM (SELECT probability, tp, sum(tp) OVER w AS ctp, sum(n) OVER w AS cn, sum(tp) OVER () AS P

@@ -136,16 +136,17 @@ def passage_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     bw = bench.withColumn("_w", words("passage")).withColumn("_m", F.size("_w"))
     anchors = bw.select(
         "item_id",
-        F.when(F.col("_m") >= 5, F.xxhash64(F.slice("_w", 2, 3)))
+        F.when(F.col("_m") >= 5, F.xxhash64(F.concat_ws(" ", F.slice("_w", 2, 3))))
          .when(F.col("_m") >= 3, F.xxhash64(F.element_at("_w", 2)))
          .otherwise(F.xxhash64(F.element_at("_w", 1))).alias("anchor"),
         F.when(F.col("_m") >= 5, F.lit(3)).otherwise(F.lit(1)).alias("anchor_len"))
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
     dw = docs.select("doc_id", words("text").alias("_w"))
     # word trigrams via slicing the array (no self-join)
-    tri3 = dw.select("doc_id", F.explode(F.array_distinct(F.transform(
-        F.sequence(F.lit(1), F.greatest(F.size("_w") - 2, F.lit(1))),
-        lambda i: F.xxhash64(F.slice("_w", i, 3))))).alias("anchor"))
+    from pyspark.ml.feature import NGram
+    tri = NGram(n=3, inputCol="_w", outputCol="_tri").transform(dw)
+    tri3 = tri.select("doc_id", F.explode(F.array_distinct("_tri")).alias("_t")).select(
+        "doc_id", F.xxhash64("_t").alias("anchor"))
     small = bounded_broadcast(anchors, MAX_BROADCAST_ROWS)
     cand = tri3.join(small.where("anchor_len = 3"), "anchor").select("item_id", "doc_id")
     if anchors.where("anchor_len = 1").limit(1).count() > 0:
