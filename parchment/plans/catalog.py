@@ -31,7 +31,12 @@ PREVIOUS_RUN_AT = "2024-01-01 00:05:00"
 
 def register(name: str, oracle: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            # times are UTC instants everywhere (fixed AS_OF, day boundaries of runs)
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = oracle
         return fn
