@@ -39,25 +39,30 @@ def class_weights(examples: DataFrame, label: str = "label") -> DataFrame:
     return examples.withColumn("weight", expr)
 
 
-def reranker_pipeline(ngram_max: int, c: float, weight_sum: float,
-                      max_features: int = TFIDF_MAX_FEATURES) -> Pipeline:
+def feature_stages(ngram_max: int, max_features: int = TFIDF_MAX_FEATURES) -> list:
+    """Tokens (2+ word characters, lower case) -> stop words out -> n-grams -> TF-IDF -> L2."""
     tok = RegexTokenizer(inputCol="text", outputCol="_tok", pattern=r"(?U)\b\w\w+\b", gaps=False, toLowercase=True)
-    stop = StopWordsRemover(inputCol="_tok", outputCol="_uni")
-    stages = [tok, stop]
+    stages = [tok, StopWordsRemover(inputCol="_tok", outputCol="_uni")]
     terms = "_uni"
     if ngram_max >= 2:
         stages.append(NGram(n=2, inputCol="_uni", outputCol="_bi"))
         stages.append(SQLTransformer(statement="SELECT *, concat(_uni, _bi) AS _terms FROM __THIS__"))
         terms = "_terms"
-    stages += [
-        CountVectorizer(inputCol=terms, outputCol="_tf", vocabSize=max_features),
-        IDF(inputCol="_tf", outputCol="_tfidf"),
-        Normalizer(inputCol="_tfidf", outputCol="features", p=2.0),
-        LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
-                           regParam=1.0 / (c * weight_sum), elasticNetParam=0.0, standardization=False,
-                           maxIter=50, family="binomial"),
-    ]
-    return Pipeline(stages=stages)
+    return stages + [CountVectorizer(inputCol=terms, outputCol="_tf", vocabSize=max_features),
+                     IDF(inputCol="_tf", outputCol="_tfidf"),
+                     Normalizer(inputCol="_tfidf", outputCol="features", p=2.0)]
+
+
+def classifier(c: float, weight_sum: float) -> LogisticRegression:
+    """Class-weighted L2 logistic regression with ``regParam = 1 / (C * sum(weights))``."""
+    return LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight",
+                              regParam=1.0 / (c * weight_sum), elasticNetParam=0.0, standardization=False,
+                              maxIter=50, family="binomial")
+
+
+def reranker_pipeline(ngram_max: int, c: float, weight_sum: float,
+                      max_features: int = TFIDF_MAX_FEATURES) -> Pipeline:
+    return Pipeline(stages=feature_stages(ngram_max, max_features) + [classifier(c, weight_sum)])
 
 
 def positive_probability(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -83,20 +88,24 @@ def grid_search(train: DataFrame, grid_ngram=GRID_NGRAM_MAX, grid_c=GRID_C) -> t
     """Grouped cross-validation (at most 3 folds) scored by average precision."""
     n_groups = train.select("question_id").distinct().count()
     n_folds = max(2, min(3, n_groups))
-    data = class_weights(fold_column(train, n_folds))
-    data = data.cache()
-    results: list[GridResult] = []
+    data = class_weights(fold_column(train, n_folds)).cache()
+    aps: dict = {}
     for ng in grid_ngram:
-        for c in grid_c:
-            aps = []
-            for f in range(n_folds):
-                fit_part = data.where(F.col("fold") != f)
-                wsum = fit_part.agg(F.sum("weight")).collect()[0][0]
-                model = reranker_pipeline(ng, c, wsum).fit(fit_part)
-                held = positive_probability(model, data.where(F.col("fold") == f))
-                aps.append(average_precision(held).collect()[0]["average_precision"])
-            results.append(GridResult(ng, c, sum(aps) / len(aps)))
+        for f in range(n_folds):
+            # the text features do not depend on C: fit them once per (n-gram range, fold)
+            fit_part = data.where(F.col("fold") != f)
+            feats = Pipeline(stages=feature_stages(ng)).fit(fit_part)
+            ftr = feats.transform(fit_part).select("features", "label", "weight").cache()
+            fho = feats.transform(data.where(F.col("fold") == f)).select("features", "label").cache()
+            wsum = ftr.agg(F.sum("weight")).collect()[0][0]
+            for c in grid_c:
+                held = classifier(c, wsum).fit(ftr).transform(fho).select(
+                    "label", vector_to_array(F.col("probability"))[1].alias("probability"))
+                aps.setdefault((ng, c), []).append(average_precision(held).collect()[0]["average_precision"])
+            ftr.unpersist()
+            fho.unpersist()
     data.unpersist()
+    results = [GridResult(ng, c, sum(aps[(ng, c)]) / len(aps[(ng, c)])) for ng in grid_ngram for c in grid_c]
     best = max(results, key=lambda r: (r.cv_average_precision, -results.index(r)))
     return best, results
 
