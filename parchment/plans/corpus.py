@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from parchment.constants import EMBEDDING_MODEL
 from parchment.operators import chunking, documents, embedding, extract, ingest
-from parchment.session import materialize
+from parchment.session import materialize, session_key
 from parchment.sources import fixtures
 
 RAW_DIR = "data/raw"
@@ -24,7 +24,7 @@ _STAGES: dict = {}
 
 def stage(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
     """A pipeline stage's output table: built once per session and input, then read."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    key = (session_key(spark), sf_dir, name)
     if key not in _STAGES:
         _STAGES[key] = materialize(build(), f"stage-{name}")
     return _STAGES[key]
@@ -78,7 +78,7 @@ _INDEX_CACHE: dict = {}
 
 
 def corpus_index(spark: SparkSession, sf_dir: str, model: str = EMBEDDING_MODEL) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir, model)
+    key = (session_key(spark), sf_dir, model)
     if key not in _INDEX_CACHE:
         idx = embedding.search_index(corpus_chunks(spark, sf_dir), corpus_documents(spark, sf_dir), model)
         _INDEX_CACHE[key] = materialize(idx, f"index-{model}")

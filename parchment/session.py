@@ -61,12 +61,23 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         root = tempfile.mkdtemp(prefix="parchment-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(root)
+    try:  # classic sessions also get the RDD checkpoint folder (absent under Spark Connect)
+        sc = spark.sparkContext
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(root)
+    except Exception:  # noqa: BLE001
+        pass
     return root
 
 
+def session_key(spark: SparkSession) -> str:
+    """A stable identity of the running application (for per-session stage tables)."""
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return str(id(spark))
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a parquet table under the checkpoint root and read it back.
 
