@@ -53,13 +53,14 @@ def r6(c) -> F.Column:
          CAST(row_number() OVER (ORDER BY priority, source_name, source_id) AS INTEGER) AS fetch_order
   FROM registry WHERE is_active AND fetch_method = 'http_get'""", "registry"))
 def q_registry_active(spark, sf):
-    act = ingest.active_sources(fixtures.registry(spark, sf))
-    # the listing order is the work order; the position is reported, computed on
-    # the (small, one row per source) registry
-    from pyspark.sql import Window
-    w = Window.orderBy("priority", "source_name", "source_id")
-    return act.select("source_id", "source_name", "source_type", "agency", "priority", "fetch_method",
-                      F.row_number().over(w).cast("int").alias("fetch_order"))
+    from parchment.operators.scan import row_number_by
+    reg = fixtures.registry(spark, sf)
+    act = reg.where(F.col("is_active") & (F.col("fetch_method") == "http_get"))
+    # the listing order is the work order (S1/T6); its position is numbered with the
+    # range-partitioned scan, so a large registry is never ranked in one task
+    numbered = row_number_by(act, [], ["priority", "source_name", "source_id"], "fetch_order")
+    return numbered.select("source_id", "source_name", "source_type", "agency", "priority", "fetch_method",
+                           "fetch_order")
 
 
 def _registry_now(spark, sf):
