@@ -256,3 +256,11 @@ def test_binary_landing_hash_and_decode(spark, tmp_path):
     df = spark.createDataFrame([(3,), (1,), (2,)], "x int")
     assert [r[0] for r in work_order(df, ["x"], 2).collect()] == [1, 2]
     assert work_order(df, ["x"], 0).count() == 3
+
+
+def test_single_query_api(spark):
+    from parchment.api import retrieve_text, search_text
+    idx = _index(spark, ["risk plan " * 5, "other words entirely", "risk"])
+    rows = retrieve_text(spark, idx, "risk plan", "hybrid", 2, model=SHA_EMBEDDING_MODEL).collect()
+    assert [r["rank"] for r in rows] == [1, 2] and rows[0]["chunk_id"] == "c0"
+    assert search_text(spark, idx, "risk", 1, SHA_EMBEDDING_MODEL).count() == 1
