@@ -53,29 +53,24 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set to a shared file system path.  Only when it
-    is unset (tests, local runs) a scratch folder is created and recorded in
-    the session so that every later call agrees.
+    Where it is unset a scratch folder is used only if the session runs in
+    one process (``local[...]`` masters: tests, the bench).  On several
+    machines every executor would write to its own disk, so that fails.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share; "
+                               f"it is unset and the master is {master!r}")
         root = tempfile.mkdtemp(prefix="parchment-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    try:  # classic sessions also get the RDD checkpoint folder (absent under Spark Connect)
-        sc = spark.sparkContext
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(root)
-    except Exception:  # noqa: BLE001
-        pass
     return root
 
 
 def session_key(spark: SparkSession) -> str:
     """A stable identity of the running application (for per-session stage tables)."""
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
-        return str(id(spark))
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -88,4 +83,4 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
