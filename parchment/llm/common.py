@@ -16,29 +16,35 @@ from parchment.session import checkpoint_root
 NO_ID = np.iinfo(np.int64).max
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+# Rows of an Arrow batch: few enough that long texts fit a Python worker, and
+# fewer still where each row is a block of some MB.
+TEXT_ROWS, BLOCK_ROWS = 512, 8
 
 
 @contextlib.contextmanager
-def _shuffles_removed(spark: SparkSession):
-    """While a stage table is written, its shuffle files go as soon as the write ends."""
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+def _settings(spark: SparkSession, values: dict[str, str]):
+    before = {k: spark.conf.get(k) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, rows_per_batch: int = TEXT_ROWS) -> DataFrame:
     """Write ``df`` once under ``spark.checkpoint.dir`` and read it back.
 
     The table cuts the lineage (a lost executor rereads it instead of
     recomputing), fixes row positions that later steps refer to, and lets
-    several steps share one result.
+    several steps share one result.  Shuffle files go as soon as the write ends.
     """
     spark = df.sparkSession
     path = os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
-    with _shuffles_removed(spark):
+    with _settings(spark, {_CLEANUP: "true", _BATCH: str(rows_per_batch)}):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -54,6 +60,9 @@ def discard(*tables: DataFrame) -> None:
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """A given table; Python steps that follow get Arrow batches of ``TEXT_ROWS`` rows at most."""
+    if not 0 < int(spark.conf.get(_BATCH)) <= TEXT_ROWS:
+        spark.conf.set(_BATCH, str(TEXT_ROWS))
     return spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet"))
 
 

@@ -84,8 +84,9 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                .select(F.col("sha").alias("c_sha"), F.when(
                    F.col("n_texts") == 1, F.col("n")).otherwise(F.raise_error(F.lit("two texts share a SHA-256")).cast("long")).alias("n")))
     first = F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("order"), "uid", "doc_id"))
-    keepers = suspects.groupBy("sha").agg(first.alias("keep")).join(checked, F.col("sha") == F.col("c_sha")).select(
-        F.col("sha").alias("g_sha"), "keep", "n")
+    # Written, so that the join below deals both sides itself and can split a large group.
+    keepers = stage(suspects.groupBy("sha").agg(first.alias("keep")).join(checked, F.col("sha") == F.col("c_sha")).select(
+        F.col("sha").alias("g_sha"), "keep", "n"), "dedup-keepers")
     found = suspects.join(keepers, F.col("sha") == F.col("g_sha"), "left").select(
         "doc_id", F.col("keep.doc_id").alias("keep_id"), F.col("n").alias("group_size"),
         (F.col("keep.uid") == F.col("uid")).alias("kept"), F.lower(F.hex("sha")).alias("text_sha256"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from parchment.llm import exact_dedup, mixing, packing, quality, shingle_join
+from parchment.llm import exact_dedup, language, licenses, mixing, packing, quality, shingle_join, suffix_dedup, topk, warc
 from parchment.llm.common import read
 
 
@@ -14,19 +15,40 @@ def word_tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_substrings(read(spark, sf_dir, "documents"), width=50, with_text=False)
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"), word_tokenizer())
 
 
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read(spark, sf_dir, "documents"))
+
+
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.shingle_components(read(spark, sf_dir, "documents"), shingle_join.QUERY_RULE)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.pages_through_archive(read(spark, sf_dir, "pages"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return mixing.mix(docs, mixing.lexical_quality("text")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    return language.predict(docs, language.fit(docs))
+
+
 def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return quality.score(docs, quality.fit(docs, read(spark, sf_dir, "labels")))
@@ -36,9 +58,21 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_best_fit_packing, op4_ngram_jaccard_join, op6_mixing, op9_quality_classifier, op10_exact_dedup)}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_best_fit_packing, op3_license_scan, op4_ngram_jaccard_join, op5_warc, op6_mixing, op7_exact_topk_search, op8_language_id, op9_quality_classifier, op10_exact_dedup)}
 
 ORACLES = {
+    "op7_exact_topk_search": """
+        WITH flat AS (
+            SELECT vec_id, unnest(embedding) AS x, unnest(range(len(embedding))) AS term FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+        v AS (SELECT vec_id, term, CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) AS w FROM flat),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.w * c.w) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.term = c.term AND q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0 GROUP BY 1, 2),
+        ranked AS (
+            SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                   vec_id, score FROM scored)
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op10_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parchment.llm import blocks, exchange
-from parchment.llm.common import NO_ID, mix, stage
+from parchment.llm.common import BLOCK_ROWS, NO_ID, mix, stage
 from parchment.llm.components import components
 
 ORDERS = 3
@@ -242,7 +242,7 @@ def shingle_components(docs: DataFrame, rule: Rule = QUERY_RULE, doc_id: str = "
     columns of ``docs`` are not read.
     """
     table = blocks.build(docs, "join-blocks", _entries(rule), doc_id, text)
-    listed = stage(table.select("block", "ids", "side").mapInArrow(_listed, "doc_id long, n long, sig binary"), "join-sets")
+    listed = stage(table.select("block", "ids", "side").mapInArrow(_listed, "doc_id long, n long, sig binary"), "join-sets", BLOCK_ROWS)
     entries = listed.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     classes = stage(listed.where("n > 0 and doc_id is not null").groupBy("sig").agg(F.min("doc_id").alias("first")), "join-classes")
     bits = exchange.owner_bits(entries)
@@ -258,7 +258,7 @@ def shingle_components(docs: DataFrame, rule: Rule = QUERY_RULE, doc_id: str = "
     replies = exchange.spread(table.mapInArrow(ask, exchange.REQUEST), bits, width)
     found = table.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
         _prefixes(rule, bits, width), "doc long, n long, tokens binary, " + ", ".join(f"t{k} array<long>" for k in range(ORDERS)))
-    known = stage(found.join(classes.select("first"), F.col("doc") == F.col("first"), "left_semi"), "join-candidates")
+    known = stage(found.join(classes.select("first"), F.col("doc") == F.col("first"), "left_semi"), "join-candidates", BLOCK_ROWS)
     links = _links(known, rule)
     placed = classes.join(links, F.col("first") == F.col("node"), "left").select(
         F.col("sig").alias("c_sig"), F.coalesce("component", "first").alias("component"))
