@@ -104,7 +104,7 @@ def shared(asked: DataFrame, bits: int, width: int = 64, kind: int = 0) -> DataF
 
     def answer(t: pa.Table) -> pa.Table:
         owner, values, cuts = _decoded(t, width, bits)
-        order = np.argsort(values, kind="stable")
+        order = np.argsort(values)
         ranked = values[order]
         same = ranked[1:] == ranked[:-1]
         twice = np.zeros(len(values), bool)
@@ -135,7 +135,7 @@ def undercut(asked: DataFrame, bits: int, width: int = 64, kind: int = 0) -> Dat
         owner, values, cuts = _decoded(t, width, bits)
         unpress = zstandard.ZstdDecompressor().decompress
         own = np.concatenate([np.frombuffer(unpress(x.as_py()), np.int64) for x in t["extra"]])
-        order = np.argsort(values, kind="stable")
+        order = np.argsort(values)
         ranked = values[order]
         starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]]))
         least = np.minimum.reduceat(own[order], starts)
