@@ -8,11 +8,13 @@ All orders put rare shingles first (document spread from the fingerprint
 exchange), each breaks ties its own way; shingles that no other document has
 are never sent, so documents without relatives send nothing.
 
-Large groups: first every candidate meets only the hub (smallest id) of its
-bucket, and what links becomes one component.  Hub rounds repeat, with other
-hubs, while buckets still hold many pairs of different components; then
-all remaining candidate pairs of different components are verified.  No
-link that joins two components is lost, and no group is expanded into pairs.
+Large groups: first every candidate meets only the hub of its bucket, and what
+links becomes one component.  Hub rounds repeat, with other orders and hubs,
+while they still find links for over one in a hundred candidates; then all
+remaining candidate pairs of different components are verified.  So every
+link that joins two components is found, and no group is expanded into pairs.
+A shared token counts only if its places in both orders leave room for the
+intersection that the rule asks for.
 """
 
 from __future__ import annotations
@@ -148,24 +150,26 @@ def _prefixes(rule: Rule, bits: int, width: int):
             if not n or doc == NO_ID or not common[mine].any():
                 continue
             length = n + rule.percent * n // -100 + 1
-            tokens = []
+            tokens, places = [], []
             for k in range(ORDERS):
                 order = np.lexsort((mix(s ^ np.uint64(0xA0761D6478BD642F * (k + 1) & _MASK)), spread[mine]))[:length]
-                tokens.append(s[order[common[mine][order]]].view(np.int64))
+                places.append(np.flatnonzero(common[mine][order]))
+                tokens.append(s[order[places[-1]]].view(np.int64))
             if all(len(t) for t in tokens):
-                out.append((doc, n, s.tobytes(), *tokens))
-        cols = list(zip(*out)) or [[]] * (3 + ORDERS)
-        kinds = [pa.int64(), pa.int64(), pa.binary()] + [pa.list_(pa.int64())] * ORDERS
+                out.append((doc, n, s.tobytes(), *tokens, *places))
+        cols = list(zip(*out)) or [[]] * (3 + 2 * ORDERS)
+        kinds = [pa.int64(), pa.int64(), pa.binary()] + [pa.list_(pa.int64())] * (2 * ORDERS)
         return pa.table([pa.array(c, t) for c, t in zip(cols, kinds)],
-                        names=["doc", "n", "tokens", *(f"t{k}" for k in range(ORDERS))])
+                        names=["doc", "n", "tokens", *(f"t{k}" for k in range(ORDERS)), *(f"p{k}" for k in range(ORDERS))])
 
     return run
 
 
 def _verified(pairs: DataFrame, known: DataFrame, rule: Rule, name: str) -> DataFrame:
     """Of pairs (a, b) those that link: every order's prefixes must meet before the sets are compared."""
-    left = known.select(*(F.col(c).alias(f"l_{c}") for c in known.columns))
-    right = known.select(*(F.col(c).alias(f"r_{c}") for c in known.columns))
+    need = ["doc", "tokens", *(f"t{k}" for k in range(ORDERS))]
+    left = known.select(*(F.col(c).alias(f"l_{c}") for c in need))
+    right = known.select(*(F.col(c).alias(f"r_{c}") for c in need))
     meets = F.lit(True)
     for k in range(ORDERS):
         meets = meets & F.arrays_overlap(f"l_t{k}", f"r_t{k}")
@@ -184,50 +188,53 @@ def _verified(pairs: DataFrame, known: DataFrame, rule: Rule, name: str) -> Data
     return stage(rows.mapInArrow(compare, "a long, b long"), name)
 
 
-def _sized(rule: Rule, n: str, m: str):
-    return 100 * F.least(n, m) >= rule.percent * F.greatest(n, m)
+def _may_link(rule: Rule, n: str, place: str, m: str, other: str):
+    """A shared token at these places of the order leaves room for a large enough intersection.
+
+    It holds at the first token that a linked pair shares, so a pair that
+    fails at each of its tokens does not link.
+    """
+    room = F.least(F.col(n) - F.col(place), F.col(m) - F.col(other))
+    return (100 + rule.percent) * room >= rule.percent * (F.col(n) + F.col(m))
 
 
-def _links(known: DataFrame, rule: Rule) -> DataFrame | None:
+def _links(known: DataFrame, rule: Rule) -> DataFrame:
     """node, component over the candidates (one row per class of equal sets)."""
     found: DataFrame | None = None
 
     def placed(k: int) -> DataFrame:
-        flat = known.select(F.col("doc"), F.col("n"), F.explode(f"t{k}").alias("token"))
+        flat = known.select("doc", "n", F.explode(F.arrays_zip(F.col(f"t{k}").alias("token"), F.col(f"p{k}").alias("place"))).alias("at"))
+        flat = flat.select("doc", "n", "at.token", "at.place")
         if found is None:
             return flat.withColumn("component", F.col("doc"))
         return (flat.join(found, F.col("doc") == F.col("node"), "left")
                 .withColumn("component", F.coalesce("component", "doc")).drop("node"))
 
-    growth = math.log(100 / rule.percent)
+    def joined(new: DataFrame) -> DataFrame:
+        return components(new if found is None else new.unionByName(
+            found.select(F.col("node").alias("a"), F.col("component").alias("b"))), "join-components")
+
+    total, growth = known.count(), math.log(100 / rule.percent)
     for turn in range(HUB_ROUNDS):
-        at = placed(turn % ORDERS)
-        open_pairs = (at.groupBy("token", "component").agg(F.count(F.lit(1)).alias("c")).groupBy("token")
-                      .agg(F.sum("c").alias("s"), F.sum(F.col("c") * F.col("c")).alias("q")).where("s * s > q"))
-        count = open_pairs.agg(F.coalesce(F.sum((F.col("s") * F.col("s") - F.col("q")) / 2), F.lit(0.0)),
-                               F.coalesce(F.sum("s"), F.lit(0))).first()
-        if not count[0] or turn and count[0] <= 2 * count[1]:
-            break
-        size_class = F.floor(F.log(F.col("n").cast("double")) / growth)
+        at = placed(turn % ORDERS).withColumn("class", F.floor(F.log(F.col("n").cast("double")) / growth + turn / 2))
         rank = F.col("doc") if turn == 0 else F.xxhash64("component", F.lit(turn))
-        open_at = at.join(open_pairs.select("token"), "token", "left_semi").withColumn("class", size_class)
-        hubs = open_at.groupBy("token", "class").agg(
-            F.min(F.struct(rank.alias("rank"), "doc", "n", "component")).alias("hub"))
-        pairs = (open_at.join(hubs, ["token", "class"]).where("component <> hub.component")
-                 .where(_sized(rule, "n", "hub.n"))
+        hubs = at.groupBy("token", "class").agg(F.min(F.struct(rank.alias("rank"), "doc", "n", "place", "component")).alias("hub"))
+        pairs = (at.join(hubs, ["token", "class"]).where("component <> hub.component")
+                 .where(_may_link(rule, "n", "place", "hub.n", "hub.place"))
                  .select(F.greatest("doc", "hub.doc").alias("a"), F.least("doc", "hub.doc").alias("b")).distinct())
         new = _verified(pairs, known, rule, "join-hub-links")
-        found = components(new if found is None else new.unionByName(
-            found.select(F.col("node").alias("a"), F.col("component").alias("b"))), "join-components")
-    at = placed(0)
-    shared = at.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi")
-    left = at.join(shared.select("token"), "token", "left_semi")
-    right = left.select(F.col("doc").alias("o_doc"), F.col("n").alias("o_n"), "token", F.col("component").alias("o_component"))
-    pairs = (left.join(right, "token").where("doc > o_doc and component <> o_component").where(_sized(rule, "n", "o_n"))
+        links = new.count()
+        if links:
+            found = joined(new)
+        if 100 * links <= total:
+            break
+    left = placed(0)
+    right = left.select(F.col("doc").alias("o_doc"), F.col("n").alias("o_n"), "token", F.col("place").alias("o_place"),
+                        F.col("component").alias("o_component"))
+    pairs = (left.join(right, "token").where("doc > o_doc and component <> o_component")
+             .where(_may_link(rule, "n", "place", "o_n", "o_place"))
              .select(F.col("doc").alias("a"), F.col("o_doc").alias("b")).distinct())
-    new = _verified(pairs, known, rule, "join-links")
-    return components(new if found is None else new.unionByName(
-        found.select(F.col("node").alias("a"), F.col("component").alias("b"))), "join-components")
+    return joined(_verified(pairs, known, rule, "join-links"))
 
 
 def shingle_components(docs: DataFrame, rule: Rule = QUERY_RULE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -257,7 +264,7 @@ def shingle_components(docs: DataFrame, rule: Rule = QUERY_RULE, doc_id: str = "
 
     replies = exchange.spread(table.mapInArrow(ask, exchange.REQUEST), bits, width)
     found = table.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(
-        _prefixes(rule, bits, width), "doc long, n long, tokens binary, " + ", ".join(f"t{k} array<long>" for k in range(ORDERS)))
+        _prefixes(rule, bits, width), "doc long, n long, tokens binary, " + ", ".join(f"{c}{k} array<long>" for c in "tp" for k in range(ORDERS)))
     known = stage(found.join(classes.select("first"), F.col("doc") == F.col("first"), "left_semi"), "join-candidates", BLOCK_ROWS)
     links = _links(known, rule)
     placed = classes.join(links, F.col("first") == F.col("node"), "left").select(

@@ -132,7 +132,8 @@ def dedup_substrings(docs: DataFrame, width: int = 50, with_text: bool = True, d
 
     texts = stage(table.select("block", "ids", "side").mapInArrow(_listed, "block long, place int, own long, sha binary"),
                   "suffix-texts", BLOCK_ROWS)
-    first = texts.groupBy("sha").agg(F.min("own").alias("first")).withColumnRenamed("sha", "f_sha")
+    # Written, so that the join below deals both sides itself and can split a large group.
+    first = stage(texts.groupBy("sha").agg(F.min("own").alias("first")).withColumnRenamed("sha", "f_sha"), "suffix-firsts")
     copies = stage(texts.join(first, (F.col("sha") == F.col("f_sha")) & (F.col("own") > F.col("first"))).select(
         "block", F.lit(COPY).alias("kind"), F.col("place").alias("owner"), F.lit(None).cast("binary").alias("codes")), "suffix-copies")
 
@@ -191,5 +192,5 @@ def dedup_substrings(docs: DataFrame, width: int = 50, with_text: bool = True, d
     if with_text:
         out += ", spans array<struct<start:long,stop:long>>, kept binary"
     done = stage(told(ranks.unionByName(below).unionByName(copies), cut, out), "suffix-cut", BLOCK_ROWS)
-    discard(table, texts, copies, ranks, below)
+    discard(table, texts, first, copies, ranks, below)
     return done
