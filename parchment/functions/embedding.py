@@ -18,9 +18,9 @@ Spark has no BLAKE2b, so the per-row work is a small Arrow-batched pandas UDF
 from __future__ import annotations
 
 import hashlib
-import math
 import re
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -45,43 +45,28 @@ def _sha_value(feature: str) -> int:
 HASHERS = {EMBEDDING_MODEL: _blake2b_value, SHA_EMBEDDING_MODEL: _sha_value}
 
 
-def tokenize(text: str | None) -> list[str]:
-    if not text:
-        return []
-    return [t for t in _TOKEN_RE.findall(text.lower()) if t not in _STOP]
-
-
-def embed_text(text: str | None, model: str = EMBEDDING_MODEL,
-               dimension: int = EMBEDDING_DIMENSION, cache: dict | None = None) -> list[float]:
-    """Embed one text; ``cache`` memoises feature -> (slot, signed unit)."""
-    hasher = HASHERS[model]
-    cache = {} if cache is None else cache
-    vector = [0.0] * dimension
-    toks = tokenize(text)
-
-    def add(feature: str, weight: float) -> None:
-        hit = cache.get(feature)
-        if hit is None:
-            value = hasher(feature)
-            hit = (value % dimension, -1.0 if value & 1 else 1.0)
-            cache[feature] = hit
-        vector[hit[0]] += hit[1] * weight
-
-    for tok in toks:
-        add(tok, UNIGRAM_WEIGHT)
-    for left, right in zip(toks, toks[1:]):
-        add(f"{left}_{right}", BIGRAM_WEIGHT)
-    length = math.sqrt(sum(v * v for v in vector))
-    if length == 0:
-        return vector
-    return [round(v / length, EMBEDDING_ROUND_DIGITS) for v in vector]
+def embed_batch(texts: pd.Series, model: str = EMBEDDING_MODEL, dimension: int = EMBEDDING_DIMENSION) -> np.ndarray:
+    """The (rows, dimension) matrix of a batch of texts: every distinct feature is hashed once,
+    all occurrences are summed by one ``bincount`` over (row, slot)."""
+    found = texts.fillna("").str.lower().str.findall(_TOKEN_RE).reset_index(drop=True).explode().dropna()
+    found = found[~found.isin(_STOP)]
+    row, token = found.index.to_numpy(np.int64), found.to_numpy(object)
+    pair = np.flatnonzero(row[1:] == row[:-1])
+    names, feature = np.unique(np.concatenate([token, token[pair] + "_" + token[pair + 1]]).astype(object), return_inverse=True)
+    values = np.array([HASHERS[model](name) for name in names], np.uint64)
+    slot = (values % np.uint64(dimension)).astype(np.int64)[feature]
+    sign = 1.0 - 2.0 * (values & np.uint64(1)).astype(float)[feature]
+    weight = np.repeat([UNIGRAM_WEIGHT, BIGRAM_WEIGHT], [len(token), len(pair)])
+    total = np.bincount(np.concatenate([row, row[pair]]) * dimension + slot, sign * weight, len(texts) * dimension)
+    matrix = total.reshape(len(texts), dimension).astype(float)  # bincount of nothing is integer
+    norms = np.sqrt((matrix * matrix).sum(1, keepdims=True))
+    return np.round(np.divide(matrix, norms, out=np.zeros_like(matrix), where=norms > 0), EMBEDDING_ROUND_DIGITS)
 
 
 def _make_udf(model: str, dimension: int):
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def _embed(texts: pd.Series) -> pd.Series:
-        cache: dict = {}
-        return pd.Series([embed_text(t, model, dimension, cache) for t in texts])
+        return pd.Series(list(embed_batch(texts, model, dimension).astype(np.float32)))
     return _embed
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from parchment.constants import (DOCUMENT_STATUSES, EMBEDDING_DIMENSION, EXTRACTION_STATUSES,
                                  FETCH_METHODS, FETCH_STATUSES, REFRESH_POLICIES, SEVERITIES, SOURCE_STATUSES,
                                  SOURCE_TYPES)
+from parchment.operators.joins import bounded_broadcast
 
 
 # ------------------------------------------------------------------ upserts
@@ -43,17 +44,18 @@ def upsert_keep(existing: DataFrame, incoming: DataFrame, keys: list[str], keep:
 
 def seed_merge(existing: DataFrame, seed: DataFrame, key: str, metadata: list[str],
                reactivate: str | None = None) -> DataFrame:
-    """Keyed full-outer merge; seed metadata overwrites, state columns are kept."""
-    cols = existing.columns
-    s = seed.select(key, *[F.col(c).alias(f"_s_{c}") for c in metadata])
-    j = existing.join(s, key, "full_outer")
-    out = j
+    """Keyed full-outer merge; seed metadata overwrites (nulls too), state columns are kept.
+
+    A row is in the seed when it has the seed's presence mark, whatever its values.
+    """
+    s = seed.select(key, F.lit(True).alias("_seeded"), *[F.col(c).alias(f"_s_{c}") for c in metadata])
+    seeded = F.col("_seeded").isNotNull()
+    out = existing.join(s, key, "full_outer")
     for c in metadata:
-        out = out.withColumn(c, F.coalesce(F.col(f"_s_{c}"), F.col(c)))
+        out = out.withColumn(c, F.when(seeded, F.col(f"_s_{c}")).otherwise(F.col(c)))
     if reactivate:
-        out = out.withColumn(reactivate, F.when(F.col(f"_s_{metadata[0]}").isNotNull(), F.lit(True))
-                             .otherwise(F.col(reactivate)))
-    return out.select(*cols)
+        out = out.withColumn(reactivate, F.when(seeded, F.lit(True)).otherwise(F.col(reactivate)))
+    return out.select(*existing.columns)
 
 
 def apply_corrections(registry: DataFrame, corrections: DataFrame) -> DataFrame:
@@ -63,12 +65,12 @@ def apply_corrections(registry: DataFrame, corrections: DataFrame) -> DataFrame:
     deactivates the source and marks it ``disabled``.
     """
     c = corrections.select(F.col("source_url"), F.col("new_url"), F.col("action"))
-    j = registry.join(F.broadcast(c), "source_url", "left")
+    j = registry.join(bounded_broadcast(c), "source_url", "left")
     swap, disable = F.col("action") == "swap_url", F.col("action") == "disable"
     return j.select(
         *[F.when(swap, F.col("new_url")).otherwise(F.col("source_url")).alias("source_url") if x == "source_url"
-          else F.when(swap, F.lit(None)).otherwise(F.col(x)).alias(x) if x in ("current_hash", "last_fetch_at",
-                                                                               "last_http_status", "last_error")
+          else F.when(swap, F.lit(None)).otherwise(F.col(x)).alias(x) if x in ("current_hash", "last_http_status",
+                                                                               "last_error")
           else F.when(swap, F.lit("not_started")).when(disable, F.lit("disabled")).otherwise(F.col(x)).alias(x)
           if x == "last_status"
           else F.when(disable, F.lit(False)).otherwise(F.col(x)).alias(x) if x == "is_active"

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parchment.constants import EMBEDDING_MODEL, SHA_EMBEDDING_MODEL
-from parchment.functions.embedding import embed, embed_text
+from parchment.functions.embedding import embed
 from parchment.operators import chunking, documents, evaluation, extract, governance, ingest, keyword, retrieval
 from parchment.sources.fixtures import registry_from_ids
 
@@ -110,32 +110,32 @@ def test_chunk_argument_errors(c, o):
         chunking.check_chunk_args(c, o)
 
 
-def _reference_embedding(text):
-    """Independent restatement of the hashed embedding (BLAKE2b, signed, L2, 8 digits)."""
-    import re
-    stop = {"a", "an", "and", "are", "as", "at", "be", "by", "for", "from", "in", "is", "it", "of", "on", "or",
-            "that", "the", "this", "to", "with"}
-    toks = [t for t in re.findall(r"[a-z0-9][a-z0-9'-]*", text.lower()) if t not in stop]
-    v = [0.0] * 128
-    feats = [(t, 1.0) for t in toks] + [(f"{a}_{b}", 1.5) for a, b in zip(toks, toks[1:])]
-    for f, w in feats:
-        x = int.from_bytes(hashlib.blake2b(f.encode(), digest_size=8).digest(), "big")
-        v[x % 128] += (-1.0 if x & 1 else 1.0) * w
-    n = math.sqrt(sum(a * a for a in v))
-    return v if n == 0 else [round(a / n, 8) for a in v]
-
-
-def test_embedding_matches_restatement_and_invariants(spark):
-    texts = ["", "the of and", "risk", "risk management", "Risk-based AI governance, for the agency's plan 2024."]
-    got = spark.createDataFrame([(t,) for t in texts], "t string").select(embed("t").alias("e")).collect()
-    for t, row in zip(texts, got):
-        ref = _reference_embedding(t)
-        assert [float(x) for x in row["e"]] == pytest.approx(ref, abs=1e-7)
-        assert all(x <= 0 for x in row["e"][1::2]) and all(x >= 0 for x in row["e"][0::2])
-        n = math.sqrt(sum(float(x) ** 2 for x in row["e"]))
+def test_embedding_slots_signs_and_invariants(spark):
+    texts = ["", "the of and", None, "risk", "risk management", "Risk-based AI governance, for the agency's plan 2024."]
+    got = [[float(x) for x in r["e"]] for r in spark.createDataFrame(
+        [(t,) for t in texts], "t string").select(embed("t").alias("e")).collect()]
+    for row in got:
+        assert all(x <= 0 for x in row[1::2]) and all(x >= 0 for x in row[0::2])
+        n = math.sqrt(sum(x * x for x in row))
         assert n == pytest.approx(1.0, abs=1e-5) or n == 0.0
-    assert sum(1 for x in embed_text("risk") if x != 0) == 1
-    assert sum(1 for x in embed_text("the of and") if x != 0) == 0
+    assert [sum(x != 0 for x in row) for row in got[:5]] == [0, 0, 0, 1, 3]
+    for name, weight in (("risk", 1.0), ("management", 1.0), ("risk_management", 1.5)):
+        value = int(hashlib.blake2b(name.encode(), digest_size=8).hexdigest(), 16)
+        assert got[4][value % 128] == pytest.approx((-1) ** (value % 2) * weight / math.sqrt(4.25), abs=1e-7)
+
+
+def test_split_label_check_raises(spark):
+    examples = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 0), (3, 1)], "question_id int, label int")
+    splits = spark.createDataFrame([(1, "train"), (2, "validation"), (3, "test")], "question_id int, split string")
+    with pytest.raises(Exception, match="one label is missing in split validation"):
+        evaluation.split_label_check(examples, splits, raise_on_fail=True).collect()
+
+
+def test_seed_merge_overwrites_with_null_and_reactivates(spark):
+    now = spark.createDataFrame([("q", "old", False), ("r", "kept", False)], "k string, title string, is_active boolean")
+    seed = spark.createDataFrame([("q", None)], "k string, title string")
+    got = governance.seed_merge(now, seed, "k", ["title"], "is_active").collect()
+    assert {(r.k, r.title, r.is_active) for r in got} == {("q", None, True), ("r", "kept", False)}
 
 
 def _index(spark, texts):
