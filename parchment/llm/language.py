@@ -25,6 +25,7 @@ FIT_ROWS = 4096
 LANDMARKS = 384
 RIDGE = 1e-3
 UNKNOWN = "und"
+_MOST_PLACES = 1000  # per language; up to here Spark cuts a window's rows before it shuffles them
 _BITS = (8, 13, 14)  # buckets of 1-, 2- and 3-grams, as powers of two
 _BUCKETS = sum(1 << b for b in _BITS)
 _STEP = 1 << 21
@@ -116,7 +117,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     n_languages = known.agg(F.count_distinct("k_lang")).first()[0]
     order = Window.partitionBy("k_lang").orderBy(F.xxhash64("k_id"), "k_id")
     chosen = stage(known.withColumn("place", F.row_number().over(order))
-                   .where(F.col("place") <= max(1, fit_rows // max(1, n_languages))).drop("place").distinct(), "language-rows")
+                   .where(F.col("place") <= min(_MOST_PLACES, max(1, fit_rows // max(1, n_languages)))).drop("place").distinct(), "language-rows")
 
     def bits(batches):
         for batch in batches:
