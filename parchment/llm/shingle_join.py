@@ -228,12 +228,19 @@ def _links(known: DataFrame, rule: Rule) -> DataFrame:
             found = joined(new)
         if 100 * links <= total:
             break
+    # Components meet first and documents only through them, so no two documents of one component are paired.
     left = placed(0)
-    right = left.select(F.col("doc").alias("o_doc"), F.col("n").alias("o_n"), "token", F.col("place").alias("o_place"),
-                        F.col("component").alias("o_component"))
-    pairs = (left.join(right, "token").where("doc > o_doc and component <> o_component")
+    several = left.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).where(
+        "least < most").select(F.col("token").alias("s_token"))
+    left = stage(left.join(several, F.col("token") == F.col("s_token"), "left_semi"), "join-rest")
+    right = left.select(*(F.col(c).alias(f"o_{c}") for c in left.columns))
+    held = left.select(F.col("token").alias("h_token"), F.col("component").alias("h_component")).distinct()
+    other = held.select(F.col("h_token").alias("h_other"), F.col("h_component").alias("ho_component"))
+    meet = held.join(other, (F.col("h_token") == F.col("h_other")) & (F.col("h_component") < F.col("ho_component"))).drop("h_other")
+    pairs = (meet.join(left, (F.col("h_token") == F.col("token")) & (F.col("h_component") == F.col("component")))
+             .join(right, (F.col("h_token") == F.col("o_token")) & (F.col("ho_component") == F.col("o_component")))
              .where(_may_link(rule, "n", "place", "o_n", "o_place"))
-             .select(F.col("doc").alias("a"), F.col("o_doc").alias("b")).distinct())
+             .select(F.greatest("doc", "o_doc").alias("a"), F.least("doc", "o_doc").alias("b")).distinct())
     return joined(_verified(pairs, known, rule, "join-links"))
 
 
