@@ -127,7 +127,11 @@ def select(q_ids: np.ndarray, queries: np.ndarray, c_ids: np.ndarray, postings:
                      if not small else scores[row[keep], col[keep]])
     if not at:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.concatenate(x) for x in (at, found, score))
+    at, found, score = (np.concatenate(x) for x in (at, found, score))
+    order = np.lexsort((found, ~score, at))  # ~score falls as score rises and cannot overflow
+    at, found, score = at[order], found[order], score[order]
+    best = np.arange(len(at)) - np.searchsorted(at, at) < k
+    return at[best], found[best], score[best]
 
 
 def top_k(vectors: DataFrame, is_query: F.Column, k: int = 5, scale: float = 256.0,
