@@ -1168,15 +1168,15 @@ def q_dense_cosine_topk(spark, sf):
     slots = vec.select("label", F.posexplode("embedding").alias("i", "x"))
     cent = (slots.groupBy("label", "i").agg(F.avg(F.col("x").cast("double")).alias("cx"))
             .groupBy("label").agg(F.array_sort(F.collect_list(F.struct("i", "cx"))).alias("_c")))
-    rows = cent.select(F.col("label").alias("query_id"),
-                       F.transform("_c", lambda s: s["cx"]).alias("query_embedding")).limit(
-        retrieval.MAX_QUERIES_PER_PASS + 1).collect()
-    if len(rows) > retrieval.MAX_QUERIES_PER_PASS:
-        raise ValueError("more labels than one scoring pass holds")
+    asked = cent.select(F.col("label").alias("query_id"), F.transform("_c", lambda s: s["cx"]).alias("query_embedding"))
     index = vec.select("vec_id", "embedding", F.col("vec_id").alias("chunk_id"),
                        F.lit("").alias("document_id"), F.col("vec_id").alias("chunk_index"))
-    cand = retrieval.score_against(index, rows, 5, ("vec_id", "chunk_id", "document_id", "chunk_index"),
-                                   vec.schema["label"].dataType)
+    parts = [retrieval.score_against(index, block.collect(), 5, ("vec_id", "chunk_id", "document_id", "chunk_index"),
+                                     vec.schema["label"].dataType)  # a block holds at most MAX_QUERIES_PER_PASS rows
+             for block in retrieval.query_passes(asked)]
+    cand = parts[0]
+    for p in parts[1:]:
+        cand = cand.unionByName(p)
     top = retrieval.top_k_per_query(cand, [F.round("vector_similarity", 9).desc(), F.col("vec_id")], 5)
     return top.select(F.col("query_id").alias("label"), "rank", "vec_id", r6("vector_similarity").alias("similarity"))
 
