@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parchment.constants import (DOCUMENT_STATUSES, EMBEDDING_DIMENSION, EXTRACTION_STATUSES,
+from parchment.constants import (DOCUMENT_STATUSES, EXTRACTION_STATUSES,
                                  FETCH_METHODS, FETCH_STATUSES, REFRESH_POLICIES, SEVERITIES, SOURCE_STATUSES,
                                  SOURCE_TYPES)
 from parchment.operators.joins import bounded_broadcast
@@ -59,22 +59,32 @@ def seed_merge(existing: DataFrame, seed: DataFrame, key: str, metadata: list[st
 
 
 def apply_corrections(registry: DataFrame, corrections: DataFrame) -> DataFrame:
-    """Corrections (source_url, new_url, action in {swap_url, disable}) applied by a join.
+    """Corrections (source_url, action, new_url, new_type, reason) applied by a join.
 
-    ``swap_url`` replaces the URL and resets the fetch state; ``disable``
-    deactivates the source and marks it ``disabled``.
+    ``swap_url`` replaces the URL, the type (null keeps it) and the notes, and
+    clears hash, HTTP status and error; ``disable`` deactivates the source and
+    gives the reason as its last error.  The time of the last fetch stays.
     """
-    c = corrections.select(F.col("source_url"), F.col("new_url"), F.col("action"))
+    c = corrections.select("source_url", "action", "new_url", "new_type", "reason")
     j = registry.join(bounded_broadcast(c), "source_url", "left")
     swap, disable = F.col("action") == "swap_url", F.col("action") == "disable"
-    return j.select(
-        *[F.when(swap, F.col("new_url")).otherwise(F.col("source_url")).alias("source_url") if x == "source_url"
-          else F.when(swap, F.lit(None)).otherwise(F.col(x)).alias(x) if x in ("current_hash", "last_http_status",
-                                                                               "last_error")
-          else F.when(swap, F.lit("not_started")).when(disable, F.lit("disabled")).otherwise(F.col(x)).alias(x)
-          if x == "last_status"
-          else F.when(disable, F.lit(False)).otherwise(F.col(x)).alias(x) if x == "is_active"
-          else F.col(x) for x in registry.columns])
+    changed = {
+        "source_url": F.when(swap, F.col("new_url")),
+        "source_type": F.when(swap, F.coalesce("new_type", "source_type")),
+        "notes": F.when(swap, F.col("reason")),
+        "last_status": F.when(swap, F.lit("not_started")).when(disable, F.lit("disabled")),
+        "last_error": F.when(swap, F.lit(None)).when(disable, F.col("reason")),
+        "last_http_status": F.when(swap, F.lit(None)),
+        "current_hash": F.when(swap, F.lit(None)),
+        "is_active": F.when(disable, F.lit(False)),
+    }
+    return j.select(*[changed[x].otherwise(F.col(x)).alias(x) if x in changed else F.col(x) for x in registry.columns])
+
+
+def append_new(existing: DataFrame, incoming: DataFrame, key: str) -> DataFrame:
+    """Incoming rows are appended; one that an earlier run has appended already is not repeated."""
+    cols = existing.columns
+    return existing.unionByName(incoming.select(*cols).join(existing.select(key), key, "left_anti").select(*cols))
 
 
 # ------------------------------------------------------------------ audits
@@ -94,7 +104,7 @@ def audit_fk(relations: dict[str, tuple[DataFrame, str, DataFrame, str]]) -> Dat
     parts = []
     for name, (child, ccol, parent, pcol) in relations.items():
         orphans = child.where(F.col(ccol).isNotNull()).join(
-            parent.select(F.col(pcol).alias(ccol)).distinct(), ccol, "left_anti")
+            parent.select(F.col(pcol).alias(ccol)), ccol, "left_anti")
         parts.append(orphans.agg(F.count(F.lit(1)).alias("orphans")).select(F.lit(name).alias("relation"), "orphans"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -116,10 +126,11 @@ def audit_null(df: DataFrame, table: str, not_null: list[str]) -> DataFrame:
         F.lit(table).alias("table_name"), "column_name", "nulls")
 
 
-def audit_dimension(embeddings: DataFrame, dimension: int = EMBEDDING_DIMENSION) -> DataFrame:
-    """Q5: embeddings whose vector length differs from the declared dimension."""
-    return embeddings.where((F.size("embedding") != F.col("embedding_dimension"))
-                            | (F.col("embedding_dimension") != dimension))
+def audit_dimension(tables: dict[str, tuple[DataFrame, int]]) -> DataFrame:
+    """Q5: per table, vectors whose length differs from the declared dimension (one aggregation each)."""
+    parts = [df.agg(F.count(F.lit(1)).alias("checked"), F.count_if(F.size("embedding") != dimension).alias("violations"))
+             .select(F.lit(name).alias("table_name"), "checked", "violations") for name, (df, dimension) in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def cascade_delete(documents: DataFrame, dependents: dict[str, DataFrame], doomed: DataFrame) -> dict[str, DataFrame]:

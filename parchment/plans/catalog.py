@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from parchment.constants import EMBEDDING_MODEL, SHA_EMBEDDING_MODEL
+from parchment.constants import EMBEDDING_DIMENSION, EMBEDDING_MODEL, SHA_EMBEDDING_MODEL
 from parchment.functions.embedding import l2_norm
 from parchment.operators import chunking, documents, embedding, extract, ingest, keyword, retrieval
 from parchment.plans import corpus
@@ -711,11 +711,51 @@ def q_upsert_keep_version(spark, sf):
     return merged.select("document_id", "source_id", "content_hash", "version_number", "document_status")
 
 
+@register("upsert_chunks", Q.with_ctes("""
+  SELECT chunk_id, document_id, chunk_index, chunk_hash, word_count FROM chunks""", "chunks"))
+def q_upsert_chunks(spark, sf):
+    """Chunks written again replace the stored rows of the same (document, index)."""
+    now = corpus.corpus_chunks(spark, sf)
+    before = now.where(F.col("chunk_index") % 2 == 0).withColumns({
+        "chunk_hash": F.lit("before"), "word_count": F.lit(0), "created_at": F.col("created_at") - F.expr("INTERVAL 1 DAY")})
+    merged = gov.upsert_latest(before.select(now.columns), now, ["document_id", "chunk_index"], ["created_at"])
+    return merged.select("chunk_id", "document_id", "chunk_index", "chunk_hash", F.col("word_count").cast("int").alias("word_count"))
+
+
+@register("upsert_embeddings", Q.with_ctes(f"""
+  SELECT chunk_id, '{EMBEDDING_MODEL}' AS embedding_model, chunk_hash, {EMBEDDING_DIMENSION} AS dimension FROM chunks""", "chunks"))
+def q_upsert_embeddings(spark, sf):
+    """Vectors made again replace the stored ones of the same chunk and model."""
+    now = _embeddings(spark, sf)
+    before = now.withColumns({"chunk_hash": F.lit("before"), "embedding": F.slice("embedding", 1, 3),
+                              "created_at": F.col("created_at") - F.expr("INTERVAL 1 DAY")})
+    merged = gov.upsert_latest(before.select(now.columns), now, ["chunk_id", "embedding_model"], ["created_at"])
+    return merged.select("chunk_id", "embedding_model", "chunk_hash", F.size("embedding").alias("dimension"))
+
+
+@register("append_events", Q.with_ctes("""
+  SELECT event_id, source_id, status FROM fetch_classified""", "fetch_classified"))
+def q_append_events(spark, sf):
+    """A run's events are appended; those of a run before that come again are not repeated."""
+    now = corpus.fetch_events(spark, sf)
+    stored = now.where(F.col("fetched_at") < F.lit(PREVIOUS_RUN_AT).cast("timestamp"))
+    return gov.append_new(stored, now, "event_id").select("event_id", "source_id", "status")
+
+
+@register("work_order", Q.with_ctes("""
+  SELECT source_id, priority FROM registry WHERE is_active ORDER BY priority, source_id LIMIT 10""", "registry"))
+def q_work_order(spark, sf):
+    """The first ten sources of a run, in work order."""
+    from parchment.sources.raw import work_order
+    reg = fixtures.registry(spark, sf).where("is_active")
+    return work_order(reg, ["priority", "source_id"], 10).select("source_id", "priority")
+
+
 def _corrections(reg):
     """Corrections derived from the registry: API sources are disabled, PDF sources move to a v2 URL."""
     return reg.select("source_url",
                       F.when(F.col("source_type") == "pdf", F.regexp_replace("source_url", r"\.pdf$", "-v2.pdf"))
-                      .alias("new_url"),
+                      .alias("new_url"), F.lit("html").alias("new_type"), F.lit("corrected").alias("reason"),
                       F.when(F.col("source_type") == "api", "disable")
                       .when(F.col("source_type") == "pdf", "swap_url").alias("action")).where("action IS NOT NULL")
 
@@ -726,7 +766,11 @@ def _corrections(reg):
          CASE WHEN r.source_type = 'api' THEN false ELSE r.is_active END AS is_active,
          CASE WHEN r.source_type = 'pdf' THEN 'not_started' WHEN r.source_type = 'api' THEN 'disabled'
               ELSE coalesce(l.status, r.last_status) END AS last_status,
-         CASE WHEN r.source_type = 'pdf' THEN NULL ELSE h.current_hash END AS current_hash
+         CASE WHEN r.source_type = 'pdf' THEN NULL ELSE h.current_hash END AS current_hash,
+         CASE WHEN r.source_type = 'pdf' THEN 'html' ELSE r.source_type END AS source_type,
+         CASE WHEN r.source_type = 'pdf' THEN 'corrected' END AS notes,
+         CASE WHEN r.source_type = 'pdf' THEN NULL WHEN r.source_type = 'api' THEN 'corrected' ELSE l.error_message END AS last_error,
+         CASE WHEN r.source_type <> 'pdf' THEN CAST(l.http_status AS VARCHAR) END AS last_http_status, l.fetched_at AS last_fetch_at
   FROM registry r
   LEFT JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY fetched_at DESC, event_id DESC) AS rn
                             FROM fetch_classified) WHERE rn = 1) l USING (source_id)
@@ -737,7 +781,8 @@ def _corrections(reg):
 def q_registry_fix(spark, sf):
     now = _registry_now(spark, sf)
     fixed = gov.apply_corrections(now, _corrections(fixtures.registry(spark, sf)))
-    return fixed.select("source_id", "source_url", "is_active", "last_status", "current_hash")
+    return fixed.select("source_id", "source_url", "is_active", "last_status", "current_hash", "source_type", "notes",
+                        "last_error", F.col("last_http_status").cast("string").alias("last_http_status"), "last_fetch_at")
 
 
 @register("seed_merge", Q.with_ctes("""
@@ -867,15 +912,12 @@ def q_audit_null(spark, sf):
                                     ["l_orderkey", "l_partkey", "l_quantity", "l_shipdate"]))
 
 
-@register("audit_dim", """
+@register("audit_dim", Q.with_ctes("""
   SELECT 'vectors' AS table_name, count(*) AS checked, count(*) FILTER (WHERE len(embedding) <> 64) AS violations
-  FROM embeddings""")
+  FROM embeddings UNION ALL SELECT 'chunk_embeddings', count(*), 0 FROM chunks""", "chunks"))
 def q_audit_dim(spark, sf):
-    v = fixtures.vectors(spark, sf).withColumn("embedding_dimension", F.lit(64))
-    bad = v.where(F.size("embedding") != F.col("embedding_dimension"))
-    return v.agg(F.count(F.lit(1)).alias("checked")).select(
-        F.lit("vectors").alias("table_name"), "checked",
-        F.lit(bad.count()).cast("long").alias("violations"))
+    return gov.audit_dimension({"vectors": (fixtures.vectors(spark, sf), 64),
+                                "chunk_embeddings": (_embeddings(spark, sf), EMBEDDING_DIMENSION)})
 
 
 @register("cascade_delete", Q.with_ctes("""
