@@ -188,14 +188,14 @@ def _verified(pairs: DataFrame, known: DataFrame, rule: Rule, name: str) -> Data
     return stage(rows.mapInArrow(compare, "a long, b long"), name)
 
 
-def _may_link(rule: Rule, n: str, place: str, m: str, other: str):
-    """A shared token at these places of the order leaves room for a large enough intersection.
+def _room_for(rule: Rule, n: str, room: str, m: str, other: str):
+    """A token that two sets share leaves room for a large enough intersection.
 
-    It holds at the first token that a linked pair shares, so a pair that
-    fails at each of its tokens does not link.
+    ``room`` and ``other`` are the sets' sizes from the token's place in the
+    order on.  It holds at the first token that a linked pair shares, so a
+    pair that fails at each of its tokens does not link.
     """
-    room = F.least(F.col(n) - F.col(place), F.col(m) - F.col(other))
-    return (100 + rule.percent) * room >= rule.percent * (F.col(n) + F.col(m))
+    return (100 + rule.percent) * F.least(F.col(room), F.col(other)) >= rule.percent * (F.col(n) + F.col(m))
 
 
 def _links(known: DataFrame, rule: Rule) -> DataFrame:
@@ -218,9 +218,10 @@ def _links(known: DataFrame, rule: Rule) -> DataFrame:
     for turn in range(HUB_ROUNDS):
         at = placed(turn % ORDERS).withColumn("class", F.floor(F.log(F.col("n").cast("double")) / growth + turn / 2))
         rank = F.col("doc") if turn == 0 else F.xxhash64("component", F.lit(turn))
-        hubs = at.groupBy("token", "class").agg(F.min(F.struct(rank.alias("rank"), "doc", "n", "place", "component")).alias("hub"))
+        at = at.withColumn("room", F.col("n") - F.col("place"))
+        hubs = at.groupBy("token", "class").agg(F.min(F.struct(rank.alias("rank"), "doc", "n", "room", "component")).alias("hub"))
         pairs = (at.join(hubs, ["token", "class"]).where("component <> hub.component")
-                 .where(_may_link(rule, "n", "place", "hub.n", "hub.place"))
+                 .where(_room_for(rule, "n", "room", "hub.n", "hub.room"))
                  .select(F.greatest("doc", "hub.doc").alias("a"), F.least("doc", "hub.doc").alias("b")).distinct())
         new = _verified(pairs, known, rule, "join-hub-links")
         links = new.count()
@@ -229,17 +230,24 @@ def _links(known: DataFrame, rule: Rule) -> DataFrame:
         if 100 * links <= total:
             break
     # Components meet first and documents only through them, so no two documents of one component are paired.
-    left = placed(0)
+    # What meets is the documents of a component and size class that hold a token: if even the largest room and
+    # the smallest size among them do not allow a link, none of their documents is paired there.
+    left = placed(0).withColumn("class", F.floor(F.log(F.col("n").cast("double")) / growth)).withColumn("room", F.col("n") - F.col("place"))
     several = left.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).where(
         "least < most").select(F.col("token").alias("s_token"))
     left = stage(left.join(several, F.col("token") == F.col("s_token"), "left_semi"), "join-rest")
-    right = left.select(*(F.col(c).alias(f"o_{c}") for c in left.columns))
-    held = left.select(F.col("token").alias("h_token"), F.col("component").alias("h_component")).distinct()
-    other = held.select(F.col("h_token").alias("h_other"), F.col("h_component").alias("ho_component"))
-    meet = held.join(other, (F.col("h_token") == F.col("h_other")) & (F.col("h_component") < F.col("ho_component"))).drop("h_other")
-    pairs = (meet.join(left, (F.col("h_token") == F.col("token")) & (F.col("h_component") == F.col("component")))
-             .join(right, (F.col("h_token") == F.col("o_token")) & (F.col("ho_component") == F.col("o_component")))
-             .where(_may_link(rule, "n", "place", "o_n", "o_place"))
+
+    def named(df: DataFrame, prefix: str) -> DataFrame:
+        return df.select(*(F.col(c).alias(prefix + c) for c in df.columns))
+
+    held = left.groupBy("token", "component", "class").agg(F.min("n").alias("n"), F.max("room").alias("room"))
+    meet = named(held, "h_").join(named(held, "g_"), (F.col("h_token") == F.col("g_token")) & (F.col("h_component") < F.col("g_component"))
+                                  & _room_for(rule, "h_n", "h_room", "g_n", "g_room")).drop("h_n", "h_room")
+    ours = meet.join(left, (F.col("h_token") == F.col("token")) & (F.col("h_component") == F.col("component"))
+                     & (F.col("h_class") == F.col("class")) & _room_for(rule, "n", "room", "g_n", "g_room"))
+    ours = ours.select("doc", "n", "room", "g_token", "g_component", "g_class")
+    pairs = (ours.join(named(left, "o_"), (F.col("g_token") == F.col("o_token")) & (F.col("g_component") == F.col("o_component"))
+                       & (F.col("g_class") == F.col("o_class")) & _room_for(rule, "n", "room", "o_n", "o_room"))
              .select(F.greatest("doc", "o_doc").alias("a"), F.least("doc", "o_doc").alias("b")).distinct())
     return joined(_verified(pairs, known, rule, "join-links"))
 
