@@ -1,15 +1,18 @@
-"""License scan: winnowed fingerprints propose, banded alignment decides.
+"""License scan: winnowed fingerprints propose, local alignment decides.
 
 Templates and texts are compared by their letters and digits, lower-cased.
 The winnowed k-gram fingerprints of the templates form an inverted index
 (bounded by the templates, not the corpus); a text's winnowed fingerprints
-look up (template, diagonal) hits; hits on nearby diagonals are one candidate,
-and a banded local alignment of the whole template along it gives the matched
-characters and the span.  Everything is local to a row: no shuffle.
+look up (template, diagonal) hits; hits on nearby diagonals are one stretch of
+text, and local alignment of the template gives the matched characters and the
+span of every occurrence in it.  Everything is local to a row: no shuffle.
 """
 
 from __future__ import annotations
 
+import bisect
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,6 +24,7 @@ GRAM, WINDOW = 10, 8  # a common stretch of GRAM + WINDOW - 1 characters is neve
 BAND = 24
 COVERAGE = 0.8
 MAX_TEMPLATE_BYTES = 8 << 20  # bound of the index that travels with the tasks
+MAX_LETTERS = 1 << 18  # of one template: what a packed path holds
 _STEP = 1 << 21
 
 # Notices of public licenses.
@@ -76,36 +80,59 @@ def winnow(plain: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return chosen, h[chosen]
 
 
-def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int = BAND) -> tuple[int, int, int]:
-    """(matched characters, start, stop in ``text``) of the best local alignment within ``band`` of ``diagonal``.
-
-    A match counts 1, a mismatch or gap -1.
+# A path's score, matched letters and start, packed so that the larger number is the better path.
+_START_BITS, _MATCHED_BITS = 21, 20
+_MATCH = 1 << _START_BITS
+_POINT = 1 << _START_BITS + _MATCHED_BITS
+_TILE = 1 << 16
+
+
+def _ends(template: np.ndarray, text: np.ndarray, least: int) -> np.ndarray:
+    """The best path to each end in ``text`` that matches ``least`` letters or more; 0 where there is none."""
+    at = np.arange(len(text) + 1)
+    slope = at * _POINT
+    path, best = at, np.zeros(len(at), np.int64)
+    for i, letter in enumerate(template):
+        row = path - _POINT
+        row[1:] = np.maximum(row[1:], path[:-1] + np.where(text == letter, _POINT + _MATCH, -_POINT))
+        row = np.maximum.accumulate(row + slope) - slope
+        path = np.where(row < _POINT, at, row)  # an empty path starts anywhere
+        if i + 1 >= least:
+            best = np.maximum(best, np.where((path // _MATCH) % (1 << _MATCHED_BITS) >= least, path, 0))
+    return best
+
+
+def _apart(template: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    best = _ends(template, text, least)
+    stops = np.flatnonzero(best)
+    starts, worth = best[stops] % _MATCH, best[stops] // _MATCH
+    kept: list[tuple[int, int, int]] = []
+    for x in np.lexsort((starts, -worth)).tolist():
+        start, stop = int(starts[x]), int(stops[x])
+        k = bisect.bisect(kept, (start,), key=lambda y: y[1:2])
+        if (k == 0 or kept[k - 1][2] <= start) and (k == len(kept) or stop <= kept[k][1]):
+            kept.insert(k, (int(worth[x] % (1 << _MATCHED_BITS)), start, stop))
+    out = list(kept)
+    for lo, hi in zip([x[2] for x in kept], [x[1] for x in kept[1:]] + [len(text)]):
+        inside = (stops > lo) & (stops <= hi)
+        if hi - lo >= least and inside.any():  # their best paths run into the kept one before; others may not
+            out += [(m, start + lo, stop + lo) for m, start, stop in _apart(template, text[lo:hi], least)]
+    return out
+
+
+def occurrences(template: np.ndarray, text: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """(matched, start, stop) of the local alignments in ``text`` that match ``least`` letters of the template or more.
+
+    A match counts 1, a mismatch or gap -1.  They do not overlap: of those
+    that do, the higher score stays, then the more matched, then the earlier.
     """
-    n, width = len(template), 2 * band + 1
-    shift = np.arange(width)
-    score = np.zeros((n + 1, width), np.int32)
-    for i in range(1, n + 1):
-        j = i - 1 + diagonal - band + shift  # text position consumed at each cell
-        inside = (j >= 0) & (j < len(text))
-        same = np.where(inside, text[np.clip(j, 0, max(0, len(text) - 1))] == template[i - 1], False) if len(text) else inside
-        row = np.maximum(score[i - 1] + np.where(same, 1, -1), 0)
-        row[:-1] = np.maximum(row[:-1], score[i - 1, 1:] - 1)
-        row = np.where(inside, row, 0)
-        score[i] = np.where(inside, np.maximum.accumulate(row + shift) - shift, 0)
-    i, c = np.unravel_index(int(score.argmax()), score.shape)
-    matched, stop, start = 0, int(i - 1 + diagonal - band + c + 1), 0
-    while i > 0 and score[i, c] > 0:
-        j = int(i - 1 + diagonal - band + c)
-        same = 0 <= j < len(text) and text[j] == template[i - 1]
-        if same and score[i, c] == score[i - 1, c] + 1:
-            matched, start, i = matched + 1, j, i - 1
-        elif score[i, c] == score[i - 1, c] - 1:
-            i -= 1
-        elif c + 1 < width and score[i, c] == score[i - 1, c + 1] - 1:
-            i, c = i - 1, c + 1
-        else:
-            c -= 1
-    return matched, start, stop
+    n, out = len(template), []
+    tile, least = max(_TILE, 4 * n), max(1, least)
+    for first in range(0, len(text), tile):  # an alignment spans less than 2 n letters
+        lo = max(0, first - 2 * n)
+        out += [(m, start + lo, stop + lo) for m, start, stop in _apart(template, text[lo:first + tile + 2 * n], least)
+                if first <= start + lo < first + tile]
+    return out
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE,
@@ -125,6 +152,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
         raise ValueError(f"templates above {MAX_TEMPLATE_BYTES} bytes: scan them in groups")
     names = [n for n, _ in given]
     bodies = [_plain(np.frombuffer(t.encode(), np.uint8))[0] for _, t in given]
+    if any(len(body) >= MAX_LETTERS for body in bodies):
+        raise ValueError(f"a template of {MAX_LETTERS} letters and digits or more: cut it into parts")
     keys, of, place = [], [], []
     for t, body in enumerate(bodies):
         p, h = winnow(body, np.array([0, len(body)]))
@@ -142,12 +171,12 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
         best, i = [], 0
         while i < len(hits):
             t, d = hits[i]
-            k = i
-            while k < len(hits) and hits[k][0] == t and hits[k][1] - d <= BAND:
-                k += 1
-            matched, start, stop = align(bodies[t], plain, (d + hits[k - 1][1]) // 2)
-            if matched >= coverage * len(bodies[t]):
-                best.append((t, matched, start, stop))
+            n, stop, k = len(bodies[t]), d, i
+            while k < len(hits) and hits[k][0] == t and hits[k][1] <= stop + len(bodies[t]) + 2 * BAND:
+                stop, k = hits[k][1], k + 1
+            lo = max(0, d - BAND)
+            best += [(t, matched, start + lo, end + lo) for matched, start, end in
+                     occurrences(bodies[t], plain[lo:max(0, stop + n + BAND)], math.ceil(coverage * n - 1e-9))]
             i = k
         kept: list[tuple[int, int, int, int]] = []
         for x in sorted(best, key=lambda x: (-x[1] / len(bodies[x[0]]), -x[1], x[2], x[0])):

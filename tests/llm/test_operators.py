@@ -113,6 +113,15 @@ def test_license_scan(spark, nothing):
     assert licenses.scan(nothing).count() == 0
 
 
+def test_license_scan_finds_every_adjacent_copy(spark):
+    rows = [(i, name, n, gap) for i, (name, n, gap) in enumerate(
+        (name, n, gap) for name in licenses.TEMPLATES for n in (2, 3, 7) for gap in ("", "\n", " see also "))]
+    texts = [(i, gap.join([licenses.TEMPLATES[name]] * n)) for i, name, n, gap in rows]
+    texts += [(1000, "Licensed under CC BY-NC 4.0.\n" * 9000)]
+    got = collections.Counter((r.doc_id, r.license, r.coverage) for r in licenses.scan(spark.createDataFrame(texts, "doc_id long, text string")).collect())
+    assert got == {(i, name, 1.0): n for i, name, n, _ in rows} | {(1000, "CC-BY-NC-4.0-short", 1.0): 9000}
+
+
 @pytest.mark.parametrize("rule", [shingle_join.QUERY_RULE, shingle_join.STAGE_RULE])
 def test_shingle_join(docs, rows, nothing, rule):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
