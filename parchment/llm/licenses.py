@@ -1,16 +1,17 @@
-"""License scan: winnowed fingerprints propose, local alignment decides.
+"""License scan: counts of shared 3-grams propose, local alignment decides.
 
 Templates and texts are compared by their letters and digits, lower-cased.
-The winnowed k-gram fingerprints of the templates form an inverted index
-(bounded by the templates, not the corpus); a text's winnowed fingerprints
-look up (template, diagonal) hits; hits on nearby diagonals are one stretch of
-text, and local alignment of the template gives the matched characters and the
-span of every occurrence in it.  Everything is local to a row: no shuffle.
+A stretch of text that reaches the coverage shares a number of 3-grams with
+the template that follows from the template's length; stretches with fewer
+are passed over.  In the others, local alignment of the template gives the
+matched characters and the span of every occurrence.  Everything is local to
+a row: no shuffle.  The counting takes one pass over a text per template.
 """
 
 from __future__ import annotations
 
 import bisect
+import collections
 import math
 
 import numpy as np
@@ -18,12 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from parchment.llm.common import fingerprints, id_array, ids, utf8
+from parchment.llm.common import id_array, ids, utf8
 
-GRAM, WINDOW = 10, 8  # a common stretch of GRAM + WINDOW - 1 characters is never missed
-BAND = 24
+GRAM = 3
+BAND = 24  # letters that an occurrence may have more than its template, and still be seen in one window
 COVERAGE = 0.8
-MAX_TEMPLATE_BYTES = 8 << 20  # bound of the index that travels with the tasks
+MAX_TEMPLATE_BYTES = 8 << 20  # bound of what travels with the tasks
 MAX_LETTERS = 1 << 18  # of one template: what a packed path holds
 _STEP = 1 << 21
 
@@ -57,27 +58,49 @@ def _plain(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return _FOLD[raw[place]], place
 
 
-def _slide(x: np.ndarray, pick, n: int, fill) -> np.ndarray:
-    """pick (minimum or maximum) over n (a power of two) entries from each position on."""
-    step = 1
-    while step < n:
-        x = pick(x, np.concatenate([x[step:], np.full(min(step, len(x)), fill, x.dtype)]))
-        step *= 2
-    return x
+_SIX = np.where(_FOLD >= 128, 36 + _FOLD % 28, np.where(_FOLD >= 97, _FOLD - 87, _FOLD - 48)).astype(np.int32) & 63
 
 
-def winnow(plain: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and fingerprints that are the least of some window; grams that cross ``cuts`` do not count."""
-    none = np.uint64(0xFFFFFFFFFFFFFFFF)
-    h = np.full(len(plain), none)
-    ends = np.repeat(cuts[1:], np.diff(cuts))
-    at = np.flatnonzero(np.arange(len(plain)) + GRAM <= ends)
-    h[at] = fingerprints(plain, at, GRAM)
-    before = np.full(WINDOW - 1, none)  # windows may start before the first entry
-    least = _slide(np.concatenate([before, h]), np.minimum, WINDOW, none)
-    most = _slide(least, np.maximum, WINDOW, np.uint64(0))[:len(h)]
-    chosen = np.flatnonzero((h == most) & (h != none))
-    return chosen, h[chosen]
+def _grams(plain: np.ndarray) -> np.ndarray:
+    """The 3-gram at each position as a number of 18 bits; equal for some 3-grams with bytes outside ASCII."""
+    x = _SIX[plain]
+    return x[:-2] << 12 | x[1:-1] << 6 | x[2:]
+
+
+def least_shared(n: int, least: int) -> int:
+    """3-grams that a text shares with a template of ``n`` letters if it matches ``least`` of them or more.
+
+    The matched letters lie in runs, one more than the places where letters
+    were changed, dropped or added; a run of r letters holds r - 2 grams.
+    Places are taken to be n - least at most, as many as letters may go unmatched.
+    """
+    return max(1, least - (GRAM - 1) * (n - least + 1))
+
+
+def stretches(shared: np.ndarray, n: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and stops of the stretches of text in which some window of n + 2 BAND letters shares enough grams.
+
+    ``shared`` counts the positions before each one whose gram is in the template.
+    """
+    width = n + 2 * BAND
+    reach = width - GRAM + 1
+    later = np.concatenate([shared[reach:], np.full(min(reach, len(shared)), shared[-1])])
+    at = np.flatnonzero(later - shared >= least_shared(n, least))
+    if not len(at):
+        return at, at
+    new = np.flatnonzero(np.diff(at) > width + 2 * BAND) + 1
+    return at[np.concatenate([[0], new])] - BAND, at[np.concatenate([new - 1, [-1]])] + width + BAND
+
+
+def on_nearby_diagonals(own: np.ndarray, grams: np.ndarray, n: int, least: int) -> bool:
+    """Whether enough shared grams lie on diagonals no further apart than an occurrence's added and dropped letters take them."""
+    order = np.argsort(own, kind="stable")
+    lo, hi = np.searchsorted(own[order], grams, "left"), np.searchsorted(own[order], grams, "right")
+    count = hi - lo
+    index = np.repeat(lo, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    diagonal = np.sort(np.repeat(np.arange(len(grams)), count) - order[index])
+    enough = least_shared(n, least)
+    return bool((diagonal[enough - 1:] - diagonal[:max(0, len(diagonal) - enough + 1)] <= 2 * (BAND + n - least)).any())
 
 
 # A path's score, matched letters and start, packed so that the larger number is the better path.
@@ -145,7 +168,12 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
     covered stays, then the longer, then the earlier).  Null and empty
     texts have none; repeated rows are scanned each; a null doc_id stays
     null; empty table: empty result; other columns of ``docs`` are not read.
-    Templates of fewer than ``GRAM`` characters match nothing.
+    Templates of fewer than ``GRAM`` letters and digits match nothing.
+
+    None is missed that lies within 2 ``BAND`` letters more than its template has
+    and differs from it in no more places than letters may go unmatched (a run
+    of changed, dropped or added letters is one place), if ``coverage`` is 0.8
+    and the template has 8 letters or more; ``least_shared`` has the reckoning.
     """
     given = sorted((TEMPLATES if templates is None else templates).items())
     if sum(len(t) for _, t in given) > MAX_TEMPLATE_BYTES:
@@ -154,35 +182,54 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
     bodies = [_plain(np.frombuffer(t.encode(), np.uint8))[0] for _, t in given]
     if any(len(body) >= MAX_LETTERS for body in bodies):
         raise ValueError(f"a template of {MAX_LETTERS} letters and digits or more: cut it into parts")
-    keys, of, place = [], [], []
-    for t, body in enumerate(bodies):
-        p, h = winnow(body, np.array([0, len(body)]))
-        keys.append(h), of.append(np.full(len(p), t)), place.append(p)
-    keys, of, place = (np.concatenate([*x, np.zeros(0, kind)]) for x, kind in ((keys, np.uint64), (of, np.int64), (place, np.int64)))
-    order = np.argsort(keys, kind="stable")
-    keys, of, place = keys[order], of[order], place[order]
-
-    def found(plain: np.ndarray, at: np.ndarray, hashes: np.ndarray):
-        """The occurrences in one text: (template, matched, start, stop) in its letters and digits."""
-        lo, hi = np.searchsorted(keys, hashes, "left"), np.searchsorted(keys, hashes, "right")
-        n = hi - lo
-        index = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        hits = sorted(set(zip(of[index].tolist(), (np.repeat(at, n) - place[index]).tolist())))
-        best, i = [], 0
-        while i < len(hits):
-            t, d = hits[i]
-            n, stop, k = len(bodies[t]), d, i
-            while k < len(hits) and hits[k][0] == t and hits[k][1] <= stop + len(bodies[t]) + 2 * BAND:
-                stop, k = hits[k][1], k + 1
-            lo = max(0, d - BAND)
-            best += [(t, matched, start + lo, end + lo) for matched, start, end in
-                     occurrences(bodies[t], plain[lo:max(0, stop + n + BAND)], math.ceil(coverage * n - 1e-9))]
-            i = k
-        kept: list[tuple[int, int, int, int]] = []
+    leasts = [max(1, math.ceil(coverage * len(body) - 1e-9)) for body in bodies]
+
+    def aligned(t: int, plain: np.ndarray, where: list[tuple[int, int]]):
+        """(t, matched, start, stop) of template t in the given stretches; all in one alignment, far enough apart."""
+        body = bodies[t]
+        gap = np.zeros(len(body), np.uint8)  # no letter: crossing it costs more than the template can score
+        text = np.concatenate([y for lo, hi in where for y in (plain[lo:hi], gap)])
+        first = np.cumsum([0] + [hi - lo + len(body) for lo, hi in where])
+        for matched, start, stop in occurrences(body, text, leasts[t]):
+            k = int(np.searchsorted(first, start, "right")) - 1
+            shift = where[k][0] - int(first[k])
+            yield t, matched, start + shift, stop + shift
+
+    def found(plain: np.ndarray, cuts: np.ndarray):
+        """text -> its occurrences (template, matched, start, stop), in the letters and digits of all texts."""
+        best = collections.defaultdict(list)
+        if len(plain) < GRAM:
+            return best
+        grams, known = _grams(plain), np.zeros(1 << 18, bool)
+        for t, body in enumerate(bodies):
+            if len(body) < GRAM:
+                continue
+            own, n, where = _grams(body), len(body), []
+            known[own] = True
+            shared = np.zeros(len(grams) + 1, np.int32)
+            np.cumsum(known[grams], out=shared[1:])
+            known[own] = False
+            enough = least_shared(n, leasts[t])
+            for start, stop in zip(*stretches(shared, n, leasts[t])):
+                i = max(0, int(np.searchsorted(cuts, start, "right")) - 1)
+                while i + 1 < len(cuts) and cuts[i] < stop:
+                    lo, hi = int(max(start, cuts[i])), int(min(stop, cuts[i + 1]))
+                    if (hi - lo >= max(GRAM, leasts[t]) and shared[hi - GRAM + 1] - shared[lo] >= enough
+                            and (n <= 2 * BAND or on_nearby_diagonals(own, grams[lo:hi - GRAM + 1], n, leasts[t]))):
+                        where.append((lo, hi))
+                    i += 1
+            if where:
+                for x in aligned(t, plain, where):
+                    best[int(np.searchsorted(cuts, x[2], "right")) - 1].append(x)
+        return {i: apart(best[i]) for i in sorted(best)}
+
+    def apart(best: list[tuple[int, int, int, int]]):
+        kept: list[tuple[int, int, int, int]] = []  # by place
         for x in sorted(best, key=lambda x: (-x[1] / len(bodies[x[0]]), -x[1], x[2], x[0])):
-            if not any(x[2] < y[3] and y[2] < x[3] for y in kept):
-                kept.append(x)
-        return sorted(kept, key=lambda x: (x[2], x[0]))
+            k = bisect.bisect(kept, x[2], key=lambda y: y[2])
+            if (k == 0 or kept[k - 1][3] <= x[2]) and (k == len(kept) or x[3] <= kept[k][2]):
+                kept.insert(k, x)
+        return kept
 
     def apply(batches):
         for batch in batches:
@@ -193,16 +240,10 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
                 here = raw[at[first]:at[last]]
                 plain, where = _plain(here)
                 cuts = np.searchsorted(where, at[first:last + 1] - at[first])
-                p, h = winnow(plain, cuts)
-                hit = np.isin(h, keys)
-                p, h = p[hit], h[hit]
-                edges = np.searchsorted(p, cuts)
-                for i in np.flatnonzero(np.diff(edges)):
-                    mine = slice(edges[i], edges[i + 1])
-                    for t, matched, start, stop in found(plain[cuts[i]:cuts[i + 1]], p[mine] - cuts[i], h[mine]):
-                        base = at[first + i] - at[first]
-                        out.append((first + i, t, matched / len(bodies[t]), int(where[cuts[i] + start] - base),
-                                    int(where[cuts[i] + stop - 1] - base + 1)))
+                for i, spans in found(plain, cuts).items():
+                    base = at[first + i] - at[first]
+                    for t, matched, start, stop in spans:
+                        out.append((first + i, t, matched / len(bodies[t]), int(where[start] - base), int(where[stop - 1] - base + 1)))
                 first = last
             yield pa.record_batch([
                 id_array(own[np.array([x[0] for x in out], np.int64)]), pa.array([names[x[1]] for x in out], pa.string()),

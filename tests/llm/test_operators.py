@@ -122,6 +122,42 @@ def test_license_scan_finds_every_adjacent_copy(spark):
     assert got == {(i, name, 1.0): n for i, name, n, _ in rows} | {(1000, "CC-BY-NC-4.0-short", 1.0): 9000}
 
 
+def _matched(template, text):
+    """The most letters of ``template`` that a local alignment (1 a match, -1 a mismatch or gap) of positive score matches."""
+    most, above = 0, [(0, 0)] * (len(text) + 1)
+    for a in template:
+        row = [(0, 0)]
+        for j, b in enumerate(text):
+            (s, m), (u, v), (x, y) = above[j], above[j + 1], row[j]
+            best = max((s + 1, m + 1) if a == b else (s - 1, m), (u - 1, v), (x - 1, y))
+            row.append(best if best[0] > 0 else (0, 0))
+            most = max(most, row[-1][1])
+        above = row
+    return most
+
+
+def test_license_scan_finds_every_edited_notice(spark):
+    rng = random.Random(8)
+    plain = {n: re.sub("[^a-z0-9]", "", t.lower()) for n, t in licenses.TEMPLATES.items()}
+    words = "the quick license under a version of public work may be released and licensed by anyone who reads it".split()
+    texts = [(0, "CC", "Licensed under the CC BY-NC 4.0"), (0, "MIT", "Released under MIT License"), (0, "CC", "Licensed under CD BY-NC 4.0.")] * 20
+    for name, letters in plain.items():
+        for _ in range(20 if len(letters) < 80 else 2):
+            x = list(letters)
+            for place in rng.sample(range(len(x)), rng.randint(1, len(x) - -(-4 * len(x) // 5))):
+                x[place] = rng.choice(["", "q", x[place] + "q"])
+            texts.append((0, name, "".join(x)))
+    texts = [(i, name, " ".join([*rng.choices(words, k=9), t, *rng.choices(words, k=9)])) for i, (_, name, t) in enumerate(texts)]
+    want = set()
+    for i, _, t in texts:
+        letters = re.sub("[^a-z0-9]", "", t.lower())
+        if any(_matched(p, letters) >= 0.8 * len(p) for p in plain.values()):
+            want.add(i)
+    got = licenses.scan(spark.createDataFrame([(i, t) for i, _, t in texts], "doc_id long, text string")).collect()
+    assert {r.doc_id for r in got} == want and len(want) > 0.8 * len(texts)
+    assert all(round(r.coverage * len(plain[r.license])) >= 0.8 * len(plain[r.license]) for r in got)
+
+
 @pytest.mark.parametrize("rule", [shingle_join.QUERY_RULE, shingle_join.STAGE_RULE])
 def test_shingle_join(docs, rows, nothing, rule):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
