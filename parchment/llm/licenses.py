@@ -164,8 +164,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
 
     ``coverage`` is the share of the template's letters and digits that the
     alignment matches, at least the given one; start and stop are byte offsets
-    into the UTF-8 text.  Occurrences in a text do not overlap (the better
-    covered stays, then the longer, then the earlier).  Null and empty
+    into the UTF-8 text.  Occurrences in a text do not overlap (that with
+    more matched letters stays, then the better covered, then the earlier).  Null and empty
     texts have none; repeated rows are scanned each; a null doc_id stays
     null; empty table: empty result; other columns of ``docs`` are not read.
     Templates of fewer than ``GRAM`` letters and digits match nothing.
@@ -225,7 +225,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: flo
 
     def apart(best: list[tuple[int, int, int, int]]):
         kept: list[tuple[int, int, int, int]] = []  # by place
-        for x in sorted(best, key=lambda x: (-x[1] / len(bodies[x[0]]), -x[1], x[2], x[0])):
+        for x in sorted(best, key=lambda x: (-x[1], -x[1] / len(bodies[x[0]]), x[2], x[0])):
             k = bisect.bisect(kept, x[2], key=lambda y: y[2])
             if (k == 0 or kept[k - 1][3] <= x[2]) and (k == len(kept) or x[3] <= kept[k][2]):
                 kept.insert(k, x)

@@ -158,6 +158,14 @@ def test_license_scan_finds_every_edited_notice(spark):
     assert all(round(r.coverage * len(plain[r.license])) >= 0.8 * len(plain[r.license]) for r in got)
 
 
+def test_license_scan_keeps_the_longer_notice(spark):
+    edited = licenses.TEMPLATES["Apache-2.0-notice"].replace("compliance", "complience")
+    got = licenses.scan(spark.createDataFrame([(1, "x " * 30 + edited + " ..."), (2, licenses.TEMPLATES["Apache-2.0-short"])], "doc_id long, text string"))
+    (long,), (short,) = (got.where(f"doc_id = {i}").collect() for i in (1, 2))
+    assert long.license == "Apache-2.0-notice" and 0.98 < long.coverage < 1 and (long.start, long.stop) == (60, 60 + len(edited))
+    assert (short.license, short.coverage) == ("Apache-2.0-short", 1.0)
+
+
 @pytest.mark.parametrize("rule", [shingle_join.QUERY_RULE, shingle_join.STAGE_RULE])
 def test_shingle_join(docs, rows, nothing, rule):
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
