@@ -6,7 +6,8 @@ them, and the block of an unwanted record is skipped (seek in plain files,
 inflate and forget in gzip ones) and never decoded.
 Writing: tasks write gzip members, one per record, to files with names of
 their own; the driver lists the files of the successful attempts in a
-manifest, so what a lost task left behind is never read.
+manifest of the commit's own, so what a lost task left behind is never read.
+Appending adds a manifest; overwriting adds one that names those it replaces.
 """
 
 from __future__ import annotations
@@ -158,6 +159,24 @@ def _holds(test, fields: dict[str, str]) -> bool:
     return value.startswith(test.value) if isinstance(test, StringStartsWith) else True
 
 
+def _manifests(system, base: str) -> dict[str, list[dict]]:
+    """The files of each commit to a folder by the name of its manifest, without those that an overwrite replaced.
+
+    ``_MANIFEST`` itself, a bare list of files, is that of an older writer.
+    """
+    if system.get_file_info(base).type != pafs.FileType.Directory:
+        return {}
+    stem, end = os.path.splitext(_MANIFEST)
+    files, gone = {}, set()
+    for x in system.get_file_info(pafs.FileSelector(base)):
+        if x.base_name == _MANIFEST or x.base_name.startswith(f"{stem}-") and x.base_name.endswith(end):
+            with system.open_input_stream(x.path) as f:
+                told = json.loads(f.read())
+            files[x.base_name] = told if isinstance(told, list) else told["files"]
+            gone.update([] if isinstance(told, list) else told["replaces"])
+    return {name: x for name, x in files.items() if name not in gone}
+
+
 @dataclass
 class WarcFiles(InputPartition):
     paths: tuple[str, ...]
@@ -180,9 +199,8 @@ class WarcReader(DataSourceReader):
     def partitions(self):
         """One partition per file; small files share one."""
         system, base = _open(self.path)
-        if system.get_file_info(f"{base}/{_MANIFEST}").type == pafs.FileType.File:
-            with system.open_input_stream(f"{base}/{_MANIFEST}") as f:
-                found = [(f"{base}/{x['file']}", x["bytes"]) for x in json.loads(f.read())]
+        if lists := _manifests(system, base):
+            found = [(f"{base}/{x['file']}", x["bytes"]) for files in lists.values() for x in files]
         elif system.get_file_info(base).type == pafs.FileType.File:
             found = [(base, _FILE_BYTES)]
         else:
@@ -246,8 +264,9 @@ class Written(WriterCommitMessage):
 
 
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, options):
+    def __init__(self, options, overwrite=False):
         self.path, self.date = options["path"], options.get("date", "1970-01-01T00:00:00Z")
+        self.overwrite = overwrite
 
     def write(self, iterator):
         system, base = _open(self.path)
@@ -274,8 +293,10 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages):
         system, base = _open(self.path)
         system.create_dir(base, recursive=True)
-        with system.open_output_stream(f"{base}/{_MANIFEST}") as f:
-            f.write(json.dumps([x for m in messages if m for x in m.files]).encode())
+        replaces = sorted(_manifests(system, base)) if self.overwrite else []
+        stem, end = os.path.splitext(_MANIFEST)
+        with system.open_output_stream(f"{base}/{stem}-{uuid.uuid4().hex}{end}") as f:
+            f.write(json.dumps({"files": [x for m in messages if m for x in m.files], "replaces": replaces}).encode())
 
     def abort(self, messages):
         system, base = _open(self.path)
@@ -303,7 +324,7 @@ class WarcSource(DataSource):
         return WarcReader(self.options)
 
     def writer(self, schema, overwrite):
-        return WarcWriter(self.options)
+        return WarcWriter(self.options, overwrite)
 
 
 def register(spark: SparkSession) -> None:

@@ -216,6 +216,19 @@ def test_warc_predicates_reach_the_reader(spark, tmp_path):
     assert sum(b.num_rows for p in reader.partitions() for b in reader.read(p)) == 4
 
 
+def test_warc_appends_and_overwrites(spark, tmp_path):
+    path = str(tmp_path / "a")
+    for ids in (range(3), range(3, 7)):
+        warc.archive(spark.createDataFrame([(i, f"http://h/{i}", f"body {i}") for i in ids], "page_id long, url string, html string"), path)
+    back = spark.read.format("warc").option("path", path).load()
+    assert sorted(bytes(r.payload) for r in back.collect()) == [f"body {i}".encode() for i in range(7)]
+    one = spark.createDataFrame(back.where("target_uri = 'http://h/4'").collect(), warc.SCHEMA)
+    one.write.format("warc").mode("overwrite").option("path", path).save()
+    assert [bytes(r.payload) for r in spark.read.format("warc").option("path", path).load().collect()] == [b"body 4"]
+    one.write.format("warc").mode("append").option("path", path).save()
+    assert spark.read.format("warc").option("path", path).load().count() == 2
+
+
 def test_mixing(docs, rows, nothing):
     got = mixing.mix(docs, mixing.lexical_quality("text")).collect()
     assert sorted(map(str, got)) == sorted(map(str, mixing.mix(docs.repartition(5), mixing.lexical_quality("text")).collect()))
