@@ -56,6 +56,16 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float
     return rows.select("source", "source_size", F.least(cap, F.col("weight") * F.lit(level)).alias("target"))
 
 
+def slice_of(key: F.Column, n_slices: int) -> F.Column:
+    """The slice of a key: even parts of each octave.
+
+    ln(key) = ln(-ln(u)) - ln(quality), and the density of the first term is at
+    most 1/e, so whatever the weights are, a part of an octave's n-th holds at
+    most ln(2) / e / n of a source's rows on average.
+    """
+    return F.floor(F.log2(F.greatest(key, F.lit(1e-300))) * (n_slices / 3))
+
+
 def mix(docs: DataFrame, quality: F.Column | None = None, doc_id: str = "doc_id", text: str = "text",
         source: str = "source", weights: tuple[float, ...] = WEIGHTS, share: float = SHARE,
         max_epochs: float = MAX_EPOCHS, seed: int = 11) -> DataFrame:
@@ -84,7 +94,7 @@ def mix(docs: DataFrame, quality: F.Column | None = None, doc_id: str = "doc_id"
     goal = goal.select(F.col("source").alias("t_source"), "source_size", "target", epochs.alias("epochs"),
                        F.greatest(F.col("target") - epochs * F.col("source_size"), F.lit(0.0)).alias("rest"))
     n_slices = rows.count() // SLICE_ROWS + 1
-    cut = rows.withColumn("slice", F.floor((1 - F.exp(-F.col("key"))) * n_slices))
+    cut = rows.withColumn("slice", slice_of(F.col("key"), n_slices))
     sums = cut.groupBy("source", "slice").agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select(F.col("source").alias("s_source"), F.col("slice").alias("s_slice"),

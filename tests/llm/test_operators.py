@@ -261,6 +261,18 @@ def test_mixing(docs, rows, nothing):
     assert mixing.mix(nothing).count() == 0
 
 
+def test_mixing_slices_stay_small_under_any_weights(spark):
+    from pyspark.sql import functions as F
+
+    n = 100_000
+    for quality in (F.lit(1.0), F.lit(0.02), F.lit(1e-6), F.when(F.col("id") % 3 == 0, 0.001).otherwise(0.9)):
+        cut = spark.range(n).select((-F.log(F.rand(4)) / quality).alias("key"))
+        cut = cut.select("key", mixing.slice_of(F.col("key"), n // mixing.SLICE_ROWS + 1).alias("slice"))
+        per = cut.groupBy("slice").agg(F.count("*").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi")).orderBy("slice").collect()
+        assert max(r.n for r in per) <= mixing.SLICE_ROWS and sum(r.n for r in per) == n
+        assert all(a.hi <= b.lo for a, b in zip(per, per[1:]))
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(5)
     vectors = [(i, rng.normal(size=8).tolist()) for i in range(300)]
