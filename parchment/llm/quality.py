@@ -23,6 +23,8 @@ from parchment.llm.common import stage, utf8
 FIT_ROWS = 20_000
 THRESHOLD = 0.3
 SHRINKAGE = 0.1
+#: The covariance common to both classes counts as so many rows of each class.
+PRIOR_ROWS = 30
 _STEP = 1 << 21  # bytes of text whose statistics are computed at once
 
 _BYTE = np.arange(256)
@@ -66,15 +68,22 @@ def _some(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def _repeated(raw: np.ndarray, first: np.ndarray, last: np.ndarray, of: np.ndarray) -> np.ndarray:
-    """Starts of words that repeat the word before (same length, and same up to eight bytes)."""
+    """Starts of words that repeat the word before, compared eight bytes at a time."""
     if not len(first):
         return first
     padded = np.concatenate([raw, np.zeros(8, np.uint8)])
     size = last - first + 1
-    head = np.ndarray(len(raw), "<u8", buffer=padded, strides=(1,))[first]
-    head &= np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(8) * (8 - np.minimum(size, 8)).astype(np.uint64))
-    same = (head[1:] == head[:-1]) & (size[1:] == size[:-1]) & (of[first[1:]] == of[first[:-1]])
-    return first[1:][same]
+    word = np.ndarray(len(raw), "<u8", buffer=padded, strides=(1,))
+    same = 1 + np.flatnonzero((size[1:] == size[:-1]) & (of[first[1:]] == of[first[:-1]]))
+    done, open_, at = [], same, 0
+    while len(open_):
+        mask = np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(8) * (8 - np.minimum(size[open_] - at, 8)).astype(np.uint64))
+        open_ = open_[(word[first[open_] + at] ^ word[first[open_ - 1] + at]) & mask == 0]
+        at += 8
+        whole = size[open_] <= at
+        done.append(open_[whole])
+        open_ = open_[~whole]
+    return first[np.sort(np.concatenate([same[:0], *done]))]
 
 
 def statistics(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -103,17 +112,22 @@ class Discriminant:
 
 
 def discriminant(moments: dict[int, tuple[float, np.ndarray, np.ndarray]], shrinkage: float = SHRINKAGE) -> Discriminant:
-    """From (n, sum, sum of outer products) per class; a class without rows takes the other's shape (score 0.5)."""
+    """From (n, sum, sum of outer products) per class; a class without rows takes the other's shape (score 0.5).
+
+    A class covariance is drawn towards the two classes' common one, the more
+    the fewer rows the class has, and then towards its diagonal.
+    """
     d = N_STATISTICS
     n_all = sum(m[0] for m in moments.values())
     pooled = (n_all, sum(m[1] for m in moments.values()), sum(m[2] for m in moments.values())) if n_all else (
         1.0, np.zeros(d), np.eye(d))
+    common = sum((m[2] - np.outer(m[1], m[1]) / m[0] for m in moments.values()), np.zeros((d, d))) / n_all if n_all else np.eye(d)
     means, whiten, constants = [], [], []
     for k in (0, 1):
         n, s, ss = moments.get(k, (0.0, pooled[1], pooled[2]))
         weight = n if n else pooled[0]
         mean = s / weight
-        cov = ss / weight - np.outer(mean, mean)
+        cov = (ss - np.outer(mean, s) + PRIOR_ROWS * common) / (weight + PRIOR_ROWS)
         level = max(np.trace(cov) / d, 1e-6)
         cov = (1 - 2 * shrinkage) * cov + shrinkage * np.diag(np.diag(cov)) + shrinkage * level * np.eye(d)
         factor = np.linalg.cholesky(cov)
@@ -163,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     full = np.zeros((2, N_STATISTICS + 1, N_STATISTICS + 1))
     for r in rows.collect():  # 2 x 136 numbers, whatever the corpus
         full[r["label"], r["i"], r["j"]] = full[r["label"], r["j"], r["i"]] = r["v"]
-    return discriminant({k: (m[0, 0], m[0, 1:], m[1:, 1:]) for k, m in enumerate(full) if m[0, 0] > N_STATISTICS})
+    return discriminant({k: (m[0, 0], m[0, 1:], m[1:, 1:]) for k, m in enumerate(full) if m[0, 0]})
 
 
 def score(docs: DataFrame, model: Discriminant, doc_id: str = "doc_id", text: str = "text",
