@@ -24,15 +24,15 @@ TEXT_ROWS, BLOCK_ROWS = 512, 8
 
 
 @contextlib.contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]):
-    before = {k: spark.conf.get(k) for k in values}
+def settings(spark: SparkSession, values: dict[str, str]):
+    before = {k: spark.conf.get(k, None) for k in values}
     for k, v in values.items():
         spark.conf.set(k, v)
     try:
         yield
     finally:
         for k, v in before.items():
-            spark.conf.set(k, v)
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def stage(df: DataFrame, name: str, rows_per_batch: int = TEXT_ROWS) -> DataFrame:
@@ -44,7 +44,7 @@ def stage(df: DataFrame, name: str, rows_per_batch: int = TEXT_ROWS) -> DataFram
     """
     spark = df.sparkSession
     path = os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
-    with _settings(spark, {_CLEANUP: "true", _BATCH: str(rows_per_batch)}):
+    with settings(spark, {_CLEANUP: "true", _BATCH: str(rows_per_batch)}):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -1,7 +1,8 @@
 """Language identification with a blended-spectrum string kernel.
 
 k(x, y) counts the byte n-grams (n = 1, 2, 3, lower-cased UTF-8) present in
-both texts, over sqrt(k(x, x) k(y, y)).  Kernel ridge regression, one class
+both texts, over sqrt(k(x, x) k(y, y)); 2- and 3-grams are told apart by a
+hash to ``_BITS`` bits, so n-grams that share a value count as one.  Kernel ridge regression, one class
 against the rest, is solved in the span of Nystroem landmarks.  The kernel is
 linear in a text's presence vector, so landmarks and coefficients fold into
 one matrix (n-gram buckets x classes): a batch of texts is scored by one
@@ -18,14 +19,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parchment.llm.common import stage, utf8
+from parchment.llm.common import settings, stage, utf8
 
 #: The model is fitted on at most this many labelled rows, spread evenly over the languages.
 FIT_ROWS = 4096
 LANDMARKS = 384
 RIDGE = 1e-3
 UNKNOWN = "und"
-_MOST_PLACES = 1000  # per language; up to here Spark cuts a window's rows before it shuffles them
+# Up to so many places Spark cuts a window's rows in each map task, before it shuffles them.
+_CUT_EARLY = "spark.sql.optimizer.windowGroupLimitThreshold"
 _BITS = (8, 13, 14)  # buckets of 1-, 2- and 3-grams, as powers of two
 _BUCKETS = sum(1 << b for b in _BITS)
 _STEP = 1 << 21
@@ -108,16 +110,19 @@ def solve(rows: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS,
 def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", fit_rows: int = FIT_ROWS) -> Model:
     """Learn from rows with a language whose crc32(doc_id as text) mod 5 is not 0.
 
-    The ``fit_rows`` are chosen by the hash of the id, as many of each language
-    (a bounded id list, broadcast to find their texts).  Rows without id,
+    ``fit_rows`` ids are chosen by their hash, as many of each language
+    (a bounded list, broadcast to find their texts); where ids repeat, the
+    first 2 * ``fit_rows`` texts by (id, language, n-grams) are used.  Rows without id,
     text or language take no part.
     """
     known = docs.select(F.col(doc_id).cast("long").alias("k_id"), F.col(lang).alias("k_lang")).where(
         "k_id is not null and k_lang is not null").where(F.crc32(F.col("k_id").cast("string").cast("binary")) % 5 != 0)
     n_languages = known.agg(F.count_distinct("k_lang")).first()[0]
     order = Window.partitionBy("k_lang").orderBy(F.xxhash64("k_id"), "k_id")
-    chosen = stage(known.withColumn("place", F.row_number().over(order))
-                   .where(F.col("place") <= min(_MOST_PLACES, max(1, fit_rows // max(1, n_languages)))).drop("place").distinct(), "language-rows")
+    places = max(1, fit_rows // max(1, n_languages))
+    with settings(docs.sparkSession, {_CUT_EARLY: str(max(1000, places))}):
+        chosen = stage(known.withColumn("place", F.row_number().over(order)).where(F.col("place") <= places)
+                       .drop("place").distinct(), "language-rows")
 
     def bits(batches):
         for batch in batches:
@@ -131,7 +136,7 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     texts = docs.select(F.col(doc_id).cast("long").alias("d_id"), F.col(text).alias("d_text"), F.col(lang).alias("d_lang")).where("d_text is not null")
     rows = texts.join(F.broadcast(chosen), (F.col("d_id") == F.col("k_id")) & (F.col("d_lang") == F.col("k_lang"))).select(
         "d_text", "k_lang", "d_id").mapInArrow(bits, "bits binary, lang string, id long")
-    got = sorted(rows.limit(2 * fit_rows).collect(), key=lambda r: (r["id"], r["lang"], bytes(r["bits"])))
+    got = sorted(rows.orderBy("id", "lang", "bits").limit(2 * fit_rows).collect(), key=lambda r: (r["id"], r["lang"], bytes(r["bits"])))
     found = [np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=_BUCKETS)) for r in got]
     return solve(found, [r["lang"] for r in got])
 

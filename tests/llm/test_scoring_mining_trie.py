@@ -216,3 +216,78 @@ def test_radix_tree_layouts():
             yield from walk(child, path)
 
     assert list(walk(root, b"")) == sorted(want.items())
+
+
+def test_quality_with_few_labels(spark):
+    """Five labelled rows a class give graded scores that tell the classes apart."""
+    from parchment.llm import quality
+
+    rng = np.random.default_rng(9)
+    prose = "The river runs slowly past old towns and their fields in summer".split()
+    junk = ["".join(rng.choice(list("#$%&@01"), 6)) for _ in range(30)]
+    rows = []
+    for i in range(80):  # even ids: half junk or more, odd ids: less
+        share = rng.uniform(0.5, 0.8) if i % 2 == 0 else rng.uniform(0.1, 0.4)
+        rows.append((i, " ".join(rng.choice(junk if rng.random() < share else prose) for _ in range(rng.integers(40, 120)))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = [d for d, _ in rows if zlib.crc32(str(d).encode()) % 5]
+    few = [(d, d % 2) for k in (0, 1) for d in [d for d in known if d % 2 == k][:5]]
+    got = quality.score(docs, quality.fit(docs, spark.createDataFrame(few, "doc_id long, quality int"))).collect()
+    assert len({round(r.score, 6) for r in got}) > 20
+    assert sum((r.score >= 0.5) == r.doc_id % 2 for r in got) >= 70
+
+
+def test_quality_against_densities():
+    """The score is the tempered difference of two normal log densities with shrunk covariances."""
+    from parchment.llm import quality
+
+    rng, d = np.random.default_rng(10), quality.N_STATISTICS
+    x = [rng.normal(size=(n, d)) @ rng.normal(size=(d, d)) + k for k, n in enumerate((40, 9))]
+    model = quality.discriminant({k: (float(len(v)), v.sum(0), v.T @ v) for k, v in enumerate(x)})
+    common = sum((v - v.mean(0)).T @ (v - v.mean(0)) for v in x) / 49
+    logs, probe = [], rng.normal(size=(6, d))
+    for v in x:
+        cov = ((v - v.mean(0)).T @ (v - v.mean(0)) + quality.PRIOR_ROWS * common) / (len(v) + quality.PRIOR_ROWS)
+        cov = 0.8 * cov + 0.1 * np.diag(np.diag(cov)) + 0.1 * np.trace(cov) / d * np.eye(d)
+        off = probe - v.mean(0)
+        logs.append(math.log(len(v) / 49) - 0.5 * np.linalg.slogdet(cov)[1] - 0.5 * (off @ np.linalg.inv(cov) * off).sum(1))
+    want = 1 / (1 + np.exp(-np.clip((logs[1] - logs[0]) / math.sqrt(d), -50, 50)))
+    np.testing.assert_allclose(model.score(probe), want, rtol=1e-6, atol=1e-12)
+
+
+def test_repeated_words_are_compared_whole():
+    from parchment.llm import quality
+
+    raw = np.frombuffer(b"longwordA longwordB longwordB ab ab abcdefghijklmnopqX abcdefghijklmnopqX abcdefghijklmnopqY", np.uint8)
+    solid = raw != 32
+    first = np.flatnonzero(solid & ~np.concatenate([[False], solid[:-1]]))
+    last = np.flatnonzero(solid & ~np.concatenate([solid[1:], [False]]))
+    assert quality._repeated(raw, first, last, np.zeros(len(raw), int)).tolist() == [first[2], first[4], first[6]]
+
+
+def test_language_against_ridge(spark):
+    """The folded coefficients give the outputs of one-versus-rest kernel ridge in the landmarks' span; ``fit_rows`` is obeyed."""
+    import pyarrow as pa
+
+    from parchment.llm import language
+
+    rng = np.random.default_rng(11)
+    texts = [" ".join(rng.choice(["haus", "baum", "wald"] if i % 2 else ["house", "tree", "wood"], 6)) + f" {i}" for i in range(60)]
+    labels = ["de" if i % 2 else "en" for i in range(60)]
+    found = language.presence(pa.array(texts))
+    model = language.solve(found, labels, landmarks=20, ridge=1e-2)
+    sets = [set(x.tolist()) for x in found]
+    kernel = np.array([[len(a & b) / math.sqrt(len(a) * len(b)) for b in sets] for a in sets])
+    marks = [i for pair in zip([i for i in range(60) if i % 2], [i for i in range(60) if not i % 2]) for i in pair][:20]
+    near, inner = kernel[:, marks], kernel[np.ix_(marks, marks)]
+    y = np.array([[1.0 if lab == k else -1.0 for k in ("de", "en")] for lab in labels])
+    alpha = np.linalg.solve(near.T @ near + 60 * 1e-2 * inner + 60 * 1e-8 * np.eye(20), near.T @ y)
+    np.testing.assert_allclose(model.score(found), near @ alpha, atol=1e-3)
+    seen = []
+    solve, language.solve = language.solve, lambda rows, labels: seen.append(collections.Counter(labels)) or solve(rows, labels)
+    try:
+        rows = [(i, f"{'haus baum' if i % 2 else 'house tree'} {i}", "de" if i % 2 else "en") for i in range(4000)]
+        language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), fit_rows=2600)
+    finally:
+        language.solve = solve
+    assert seen == [{"de": 1300, "en": 1300}]
