@@ -17,9 +17,9 @@ def retrieve_text(spark: SparkSession, index: DataFrame, query: str, mode: str =
                   limit: int = DEFAULT_TOP_K, agency: str | None = None, topic: str | None = None,
                   document_type: str | None = None, model: str = EMBEDDING_MODEL,
                   postings: DataFrame | None = None) -> DataFrame:
-    """D13 for one query string: ranked rows with citations and the three scores."""
+    """D13 for one query string, with phrases, ``or`` and ``-word``: ranked rows with citations and the three scores."""
     q = _one(spark, query, agency, topic, document_type)
-    return retrieval.retrieve(index, q, mode, limit, model, postings).orderBy("rank")
+    return retrieval.retrieve(index, q, mode, limit, model, postings, syntax="web").orderBy("rank")
 
 
 def search_text(spark: SparkSession, index: DataFrame, query: str, limit: int = DEFAULT_TOP_K,

@@ -1,36 +1,46 @@
-"""Keyword score by cover density over a table of queries.
-
-Score of a (query, chunk) pair: every query term must occur (AND); each
-minimal cover - the shortest span ending at an occurrence that holds all
-terms, counted once per distinct start - adds ``0.1 / (1 + noise)`` where
-noise is the number of non-query positions inside the span.  With one term
-every occurrence counts 0.1.  (Clarke, Cormack & Tudhope's cover density
-ranking with the default lexeme weight.)
-
-Positions count every token of the chunk, stop words included; query terms
-are the distinct content tokens of the query text (stop words dropped).
-
-Spark plan: the chunk postings (token, position) are produced map-side and
-equi-joined to the (bounded, broadcast) query-term table, so only matching
-occurrences survive; pairs are gathered by (query, chunk) and scored with one
-``aggregate`` fold per pair, JVM-side.
+"""Keyword scores by cover density over a stored, term-ordered index of posting blocks.
+
+A query is an alternative of clauses; a clause is a set of items that must all
+occur and of items that must not; an item is a word or a phrase (words at
+fixed distances).  Plain text is one clause of its distinct content words.
+Score of a (query, chunk) pair and a clause: each minimal cover - the shortest
+span ending at an occurrence that holds all items, counted once per distinct
+start - adds ``0.1 / (1 + noise)``, noise being the positions inside the span at
+which no item stands (a phrase stands at its first word).  With one item every
+occurrence counts 0.1; clauses add up.  (Clarke, Cormack & Tudhope's cover
+density ranking with the default lexeme weight.)
+
+Positions count every token of the chunk, stop words included; stop words in
+a query are dropped, in a phrase they keep their distance.
+
+The index holds one row per posting block: a term, its document frequency,
+and up to about ``BLOCK_POSTINGS`` chunks with their positions.  A term with
+many chunks has a power of two of blocks, and a chunk's block follows from the
+hash of its id, so a candidate knows which block of any other term to look at.
+Blocks lie ordered by term in folders by term hash: a query reads the folders
+and row groups of its own terms.
 """
 
 from __future__ import annotations
 
+import zlib
+from itertools import groupby
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from parchment.constants import COVER_WEIGHT
+from parchment.constants import COVER_WEIGHT, STOPWORDS
 from parchment.functions.text import content_tokens, tokens
-from parchment.operators.joins import bounded_broadcast
-
+from parchment.operators.joins import MAX_BROADCAST_ROWS
+from parchment.session import materialize
 
-def query_terms(queries: DataFrame, text: str = "query_text") -> DataFrame:
-    """(query_id, term, term_idx, n_terms) for the distinct content tokens of each query."""
-    t = queries.select("query_id", F.array_distinct(content_tokens(text)).alias("_t"))
-    return t.select("query_id", F.size("_t").alias("n_terms"),
-                    F.posexplode("_t").alias("term_idx", "term"))
+BLOCK_POSTINGS = 128
+_FOLDERS = 32
+MAX_ITEMS = 200_000
+_PIECE = r'-?"[^"]*"|[^\s"]+'
+_ITEM_FIELDS = (("clause", T.IntegerType()), ("item", T.IntegerType()), ("n_items", T.IntegerType()), ("n_terms", T.IntegerType()),
+                ("negative", T.BooleanType()), ("offset", T.IntegerType()), ("n_words", T.IntegerType()), ("term", T.StringType()))
 
 
 def cover_density(occ: F.Column, n_terms: F.Column) -> F.Column:
@@ -57,40 +67,126 @@ def cover_density(occ: F.Column, n_terms: F.Column) -> F.Column:
     return F.aggregate(F.sequence(F.lit(0), m - 1), zero, step, lambda acc: acc["score"])
 
 
-def postings(index: DataFrame) -> DataFrame:
-    """(chunk_id, pos, term): every token position of every chunk (map-only)."""
-    return index.select("chunk_id", F.posexplode(tokens("chunk_text")).alias("pos", "term"))
+# ---------------------------------------------------------------- index
+def build_postings(index: DataFrame) -> DataFrame:
+    """The posting blocks of ``index`` (chunk_id, chunk_text), written once: folder, term, df, n_blocks, block, postings."""
+    occurrences = index.select("chunk_id", F.posexplode(tokens("chunk_text")).alias("pos", "term"))
+    per_chunk = occurrences.groupBy("term", "chunk_id").agg(F.sort_array(F.collect_list("pos")).alias("positions"))
+    frequency = (index.select(F.explode(F.array_distinct(tokens("chunk_text"))).alias("term"))
+                 .groupBy("term").agg(F.count(F.lit(1)).alias("df")))
+    bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("df") / F.lit(BLOCK_POSTINGS)))).cast("int")
+    placed = per_chunk.join(frequency, "term").withColumn("n_blocks", F.pow(F.lit(2), bits).cast("int"))
+    blocks = (placed.withColumn("block", _block_of("chunk_id", "n_blocks")).groupBy("term", "df", "n_blocks", "block")
+              .agg(F.sort_array(F.collect_list(F.struct("chunk_id", "positions"))).alias("postings"))
+              .withColumn("folder", (F.crc32("term") % _FOLDERS).cast("int")))
+    ordered = blocks.repartitionByRange("folder", "term", "block").sortWithinPartitions("folder", "term", "block")
+    return materialize(ordered, "postings", partition_by=("folder",))
+
 
+def _block_of(chunk_id, n_blocks) -> F.Column:
+    return F.pmod(F.xxhash64(chunk_id), F.col(n_blocks)).cast("int")
 
-def keyword_pairs(index: DataFrame, queries: DataFrame, post: DataFrame | None = None) -> DataFrame:
-    """(query_id, chunk_id, keyword_score) for every pair holding all query terms.
 
-    AND queries are evaluated rarest term first, so a common term never
-    multiplies its occurrences by every query that contains it:
+# ---------------------------------------------------------------- queries
+def plain_items(query_id, words: list[str]) -> list[tuple]:
+    """One clause of distinct words."""
+    return [(query_id, 0, i, len(words), len(words), False, 0, 1, w) for i, w in enumerate(words)]
 
-    1. occurrences of any query term (semi-join with the bounded term list);
-    2. document frequency of each query term -> each query's rarest term;
-    3. candidate chunks of a query = chunks holding its rarest term;
-    4. positions of all terms are fetched for candidate pairs only, then
-       gathered per (query, chunk) and scored with one fold.
+
+def web_items(query_id, pieces: list) -> list[tuple]:
+    """Clauses of a web-style query: ``"a phrase"``, ``or`` between alternatives, ``-word`` and ``-"a phrase"`` excluded.
+
+    ``pieces`` are rows (raw, words): the query cut at blanks and quotes, with
+    the tokens of each piece.  A clause without a positive item matches nothing.
+    """
+    clauses: list[list[tuple[bool, tuple]]] = [[]]
+    for raw, words in pieces:
+        if raw.lower() == "or":
+            clauses.append([])
+            continue
+        kept = [(i, w) for i, w in enumerate(words) if w not in STOPWORDS]
+        if kept:  # distances count from the first word that is kept
+            item = (raw.startswith("-"), tuple((i - kept[0][0], w) for i, w in kept))
+            if item not in clauses[-1]:
+                clauses[-1].append(item)
+    out = []
+    for c, items in enumerate(dict.fromkeys(tuple(x) for x in clauses)):
+        positive = [x for x in items if not x[0]]
+        n_terms = sum(len(words) for _, words in positive)
+        for i, (negative, words) in enumerate(positive + [x for x in items if x[0]]):
+            out += [(query_id, c, i, len(positive), n_terms, negative, offset, len(words), w) for offset, w in words if positive]
+    return out
+
+
+def query_pieces(text: str = "query_text") -> F.Column:
+    """The pieces of a web-style query, with their tokens."""
+    return F.transform(F.regexp_extract_all(F.col(text), F.lit(_PIECE), 0), lambda p: F.struct(p.alias("raw"), tokens(p).alias("words")))
+
+
+def query_words(text: str = "query_text") -> F.Column:
+    return F.array_distinct(content_tokens(text))
+
+
+# ---------------------------------------------------------------- matching
+def _term_rows(postings: DataFrame, terms: set[str], *columns: str) -> DataFrame:
+    """The rows of some terms: only their folders and row groups are read."""
+    folders = sorted({zlib.crc32(t.encode()) % _FOLDERS for t in terms})
+    # one expression text: thousands of separate literal columns take seconds to make; a token holds no backslash
+    listed = ", ".join("'" + t.replace("'", "\\'") + "'" for t in sorted(terms))
+    asked = F.expr(f"term in ({listed})") if terms else F.lit(False)
+    return postings.where(F.col("folder").isin(folders) & asked).select(*(columns or ("term", "df", "n_blocks")))
+
+
+def match(postings: DataFrame, items: list[tuple], query_id: T.StructField) -> DataFrame:
+    """(query_id, chunk_id, keyword_score) for every pair that matches; ``items`` is bounded by the caller.
+
+    Rarest word first: a clause's candidates are the chunks of its rarest
+    word; the blocks that may hold them are looked up for its other words.  So
+    a common word is never multiplied by the queries that contain it.
     """
-    from parchment.session import materialize
-
-    qt = query_terms(queries)
-    post = postings(index) if post is None else post
-    terms = bounded_broadcast(qt.select("term").distinct())
-    hits = materialize(post.join(terms, "term", "left_semi"), "term-hits")
-    dfreq = hits.select("term", "chunk_id").distinct().groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    rare = (qt.join(dfreq, "term", "left").groupBy("query_id")
-            .agg(F.min_by("term", F.coalesce(F.col("df"), F.lit(0))).alias("term"),
-                 F.min(F.coalesce(F.col("df"), F.lit(0))).alias("_min_df"))
-            .where(F.col("_min_df") > 0).select("query_id", "term"))
-    cand = hits.join(bounded_broadcast(rare), "term").select("query_id", "chunk_id").distinct()
-    wanted = cand.join(bounded_broadcast(qt), "query_id")          # (query, chunk, term) to look up
-    occ = hits.join(bounded_broadcast(wanted), ["chunk_id", "term"])
-    grouped = occ.groupBy("query_id", "chunk_id").agg(
-        F.first("n_terms").alias("n_terms"),
-        F.count_distinct("term_idx").alias("_found"),
-        F.array_sort(F.collect_list(F.struct("pos", "term_idx"))).alias("_occ"))
-    full = grouped.where(F.col("_found") == F.col("n_terms"))
-    return full.select("query_id", "chunk_id", cover_density(F.col("_occ"), F.col("n_terms")).alias("keyword_score"))
+    spark = postings.sparkSession
+    terms = {t: (df, n) for t, df, n in _term_rows(postings, {i[-1] for i in items}).distinct().collect()}  # one row an asked word
+    live, rarest, most = [], [], 0
+    for _, clause in groupby(sorted(items, key=lambda i: (str(i[0]), i[1])), key=lambda i: i[:2]):
+        clause = list(clause)
+        wanted = [i for i in clause if not i[5]]
+        if all(i[-1] in terms for i in wanted):  # else a word that no chunk holds
+            df, least = min((terms[i[-1]][0], i[-1]) for i in wanted)
+            rarest.append((*clause[0][:2], least))
+            live += [(*i, terms[i[-1]][1]) for i in clause if i[-1] in terms]
+            most += df * len(clause)
+    fields = [query_id, *(T.StructField(n, t) for n, t in _ITEM_FIELDS), T.StructField("n_blocks", T.IntegerType())]
+    # the query side: at most MAX_ITEMS rows, held by the driver anyway
+    asked = F.broadcast(spark.createDataFrame(live, T.StructType(fields)))
+    first = F.broadcast(spark.createDataFrame(rarest, T.StructType([query_id, fields[1], T.StructField("term", T.StringType())])))
+    candidates = (_term_rows(postings, {r[-1] for r in rarest}, "term", "postings").join(first, "term")
+                  .select("query_id", "clause", F.explode("postings.chunk_id").alias("chunk_id")))
+    wanted = candidates.join(asked, ["query_id", "clause"]).withColumn("block", _block_of("chunk_id", "n_blocks"))
+    if most <= MAX_BROADCAST_ROWS:  # at most so many rows, by the document frequencies
+        wanted = F.broadcast(wanted)
+    blocks = _term_rows(postings, {i[-2] for i in live}, "term", "block", "postings")
+    held = F.element_at("postings", F.greatest(F.array_position("postings.chunk_id", F.col("chunk_id")), F.lit(1)).cast("int"))
+    found = (wanted.drop("n_blocks").join(blocks, ["term", "block"])
+             .withColumn("held", held).where(F.col("held.chunk_id") == F.col("chunk_id"))
+             .select("query_id", "clause", "chunk_id", "item", "n_items", "negative", "offset", "n_words", F.col("held.positions").alias("positions"))
+             .repartition("query_id", "clause", "chunk_id"))
+    standing = (found.select("*", F.explode("positions").alias("at")).withColumn("pos", F.col("at") - F.col("offset"))
+                .groupBy("query_id", "clause", "chunk_id", "item", "n_items", "negative", "n_words", "pos")
+                .agg(F.count(F.lit(1)).alias("here")).where(F.col("here") == F.col("n_words")))
+    gathered = standing.groupBy("query_id", "clause", "chunk_id", "n_items").agg(
+        F.max("negative").alias("excluded"), F.count_distinct(F.when(~F.col("negative"), F.col("item"))).alias("n_found"),
+        F.array_sort(F.collect_list(F.when(~F.col("negative"), F.struct("pos", F.col("item").alias("term_idx"))))).alias("occ"))
+    full = gathered.where(~F.col("excluded") & (F.col("n_found") == F.col("n_items")))
+    scored = full.select("query_id", "chunk_id", cover_density(F.col("occ"), F.col("n_items")).alias("score"))
+    return scored.groupBy("query_id", "chunk_id").agg(F.sum("score").alias("keyword_score"))
+
+
+def keyword_pairs(index: DataFrame, queries: DataFrame, postings: DataFrame | None = None, syntax: str = "plain") -> DataFrame:
+    """:func:`match` for a table of queries; without stored ``postings`` the index is built first."""
+    ask = query_words() if syntax == "plain" else query_pieces()
+    rows = queries.select("query_id", ask.alias("asked")).limit(MAX_ITEMS + 1).collect()
+    make = plain_items if syntax == "plain" else web_items
+    items = [i for r in rows for i in make(r["query_id"], r["asked"] or [])]
+    if len(rows) > MAX_ITEMS or len(items) > MAX_ITEMS:
+        raise ValueError(f"more than {MAX_ITEMS} query words at once: split the query table")
+    return match(build_postings(index) if postings is None else postings, items, queries.schema["query_id"])

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from parchment.constants import EMBEDDING_DIMENSION, EMBEDDING_MODEL, SHA_EMBEDDING_MODEL
 from parchment.functions.embedding import l2_norm
+from parchment.functions.text import tokens
 from parchment.operators import chunking, documents, embedding, extract, ingest, keyword, retrieval
 from parchment.plans import corpus
 from parchment.plans import sqlfrag as Q
@@ -353,6 +354,19 @@ def q_keyword_score(spark, sf):
     return kw.select("query_id", "chunk_id", r6("keyword_score").alias("keyword_score"))
 
 
+@register("keyword_forms", Q.with_ctes("""
+  SELECT query_id // 10 AS query_id, chunk_id, round(sum(keyword_score), 6) AS keyword_score
+  FROM form_covers GROUP BY 1, 2""", "form_covers"))
+def q_keyword_forms(spark, sf):
+    """A phrase, alternatives and an excluded word, made of each passage's own words."""
+    t = F.col("t")
+    asked = (corpus.benchmark_queries(spark, sf).withColumn("t", tokens("query_text")).where(F.size("t") >= 9)
+             .select("query_id", F.concat(F.lit('"'), F.concat_ws(" ", t[0], t[1], t[2]), F.lit('" '), t[4], F.lit(" or "),
+                                          t[5], F.lit(" "), t[6], F.lit(" -"), t[8]).alias("query_text")))
+    kw = keyword.keyword_pairs(_sha_index(spark, sf), asked, _sha_postings(spark, sf), syntax="web")
+    return kw.select("query_id", "chunk_id", r6("keyword_score").alias("keyword_score"))
+
+
 @register("keyword_topk", Q.with_ctes(_result_sql(_topk_sql(
     "round(keyword_score, 9) DESC, round(vector_similarity, 9) DESC", "WHERE keyword_score > 0")), "scored"))
 def q_keyword_topk(spark, sf):

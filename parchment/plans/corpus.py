@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parchment.constants import EMBEDDING_MODEL
-from parchment.operators import chunking, documents, embedding, extract, ingest
+from parchment.operators import chunking, documents, embedding, extract, ingest, keyword
 from parchment.session import materialize, session_key
 from parchment.sources import fixtures
 
@@ -86,9 +86,11 @@ def corpus_index(spark: SparkSession, sf_dir: str, model: str = EMBEDDING_MODEL)
 
 
 def corpus_postings(spark: SparkSession, sf_dir: str, model: str = EMBEDDING_MODEL) -> DataFrame:
-    """The index's postings (chunk_id, pos, term), written once next to the index (an inverted index)."""
-    from parchment.operators.keyword import postings
-    return stage(spark, sf_dir, f"postings-{model}", lambda: postings(corpus_index(spark, sf_dir, model)))
+    """The index's posting blocks, written once next to the index."""
+    key = (session_key(spark), sf_dir, f"postings-{model}")
+    if key not in _STAGES:
+        _STAGES[key] = keyword.build_postings(corpus_index(spark, sf_dir, model))
+    return _STAGES[key]
 
 
 def benchmark_queries(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,7 +73,7 @@ def session_key(spark: SparkSession) -> str:
     return spark.conf.get("spark.app.id", None) or str(id(spark))
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> DataFrame:
     """Write ``df`` as a parquet table under the checkpoint root and read it back.
 
     This cuts lineage (a lost executor recomputes from the written table, not
@@ -82,5 +82,5 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex}")
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
