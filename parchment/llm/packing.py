@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import bisect
 import functools
+import string
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -22,31 +24,83 @@ from pyspark.sql import functions as F
 from parchment.llm.common import id_array, ids, stage, utf8
 
 CAPACITY = 2048
-_CACHE_WORDS = 600_000
+_CACHE_WORDS = 300_000
+_MARKS = ".,;:!?%&)"
 _PIECES = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                      ("ids_crc32", pa.int64()), ("task", pa.int32()), ("nth", pa.int64())])
 
 
-class _Words(dict):
-    """Blank-separated word -> its ids as little-endian uint32; bounded, filled on demand.
+class _Recent(dict):
+    """key -> ``make(key)``, filled on demand and bounded: two generations of ``_CACHE_WORDS`` keys.
+
+    When the young generation is full it becomes the old one; a key found in
+    the old one is young again, so frequent keys are never made twice.
+    """
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(key) <= 64:
+            if len(self) >= _CACHE_WORDS:
+                self.old = dict(self)
+                self.clear()
+            self[key] = value
+        return value
+
+
+class _Words(_Recent):
+    """Blank-separated word -> its ids as little-endian uint32.
 
     The tokenizer drops white space and never joins across it, so a text's
-    ids are its words' ids one after another.
+    ids are its words' ids one after another.  Most words are plain letters
+    with marks after them: where the tokenizer is seen to keep a run of such
+    letters as one part and to start another at a mark (``_plain_letters``),
+    the letters go to its model at once and the marks are encoded apart.  All
+    other words are encoded whole.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        super().__init__()
-        self.encode = Tokenizer.from_file(path).encode
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= _CACHE_WORDS:
-            self.clear()
-        coded = np.array(self.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= 64:
-            self[word] = coded
-        return coded
+        tokenizer = Tokenizer.from_file(path)
+        model, letters = tokenizer.model, _plain_letters(tokenizer)
+        part = _Recent(lambda piece: array("I", [t.id for t in model.tokenize(piece)]).tobytes())
+        other = _Recent(lambda text: array("I", tokenizer.encode(text, add_special_tokens=False).ids).tobytes())
+        table = str.maketrans(letters)
+
+        def ids_of(word: bytes) -> bytes:
+            text = word.decode()
+            core = text.rstrip(_MARKS)
+            if not core or not letters.keys() >= set(core):
+                return other[text]
+            coded = part[core if core.isascii() else core.translate(table)]
+            return coded if len(core) == len(text) else coded + other[text[len(core):]]
+
+        super().__init__(ids_of)
+
+
+def _plain_letters(tokenizer) -> dict[str, str]:
+    """Lower-case letters -> how the model sees them; empty unless runs of them are one part that ends at a mark."""
+    normalizer, splitter = tokenizer.normalizer, tokenizer.pre_tokenizer
+    if normalizer is None or splitter is None:
+        return {}
+
+    def parts(text: str) -> list[str]:
+        return [piece for piece, _ in splitter.pre_tokenize_str(normalizer.normalize_str(text))]
+
+    found = [c for c in map(chr, range(0x250)) if c.isalpha() and c.islower() and normalizer.normalize_str(c) == c]
+    seen = {c: parts(c) for c in found}
+    letters = {c: p[0] for c, p in seen.items() if len(p) == 1}
+    run, whole = "".join(letters), "".join(letters.values())
+    ascii_kept = all(letters.get(c) == c for c in string.ascii_lowercase)
+    if not ascii_kept or parts(run) != [whole] or any(parts(run + m) != [whole, *parts(m)] for m in _MARKS):
+        return {}
+    return letters
 
 
 @functools.lru_cache(maxsize=2)

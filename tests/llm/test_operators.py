@@ -340,3 +340,20 @@ def test_rows_without_id(spark):
     assert sorted((r.keep_id, r.kept) for r in exact_dedup.exact_dedup(docs).collect()) == [(4, False), (4, False), (4, True)]
     assert sorted(r.n_removed for r in suffix_dedup.dedup_substrings(docs).collect()) == [0, 200, 200]
     assert {r.component_id for r in shingle_join.shingle_components(docs).collect()} == {None, 4}
+
+
+def test_packing_word_cache_gives_the_tokenizers_ids(monkeypatch):
+    """Plain letters, marks, special tokens, other scripts; with generations of 50 words that turn over."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "_CACHE_WORDS", 50)
+    words, whole = packing._Words(word_tokenizer()), Tokenizer.from_file(word_tokenizer())
+    rnd = random.Random(11)
+    signs = "aAbZ éß,.;:!?%&)('s't're'll<|> 9１½中가ǅᾴ̸_-‍😀 \t\n"
+    for i in range(3000):
+        text = "".join(rnd.choice(signs) for _ in range(rnd.randint(0, 24))) + ("<|endoftext|>and, " if i % 9 == 0 else "")
+        got = np.frombuffer(packing.tokens(text.encode(), words), "<u4").tolist()
+        assert got == whole.encode(text, add_special_tokens=False).ids, text
+    assert len(words) <= 50 and len(words.old) <= 50
