@@ -1,9 +1,9 @@
 """Upserts, constraint audits, status report, logs and governance checks.
 
 U1-U12, Q1-Q6, D14, D25, J10-J12, X2-X4, X6-X9.  Upserts are written as new
-snapshots (parquet has no MERGE); "last wins" is a ``max_by`` aggregation,
-partial on the map side, so a key repeated in a third of the rows does not
-pin one task.
+snapshots (parquet has no MERGE); "last wins" is a ``max`` over (order, row
+number) alone, partial on the map side, so a key repeated in a third of the
+rows does not pin one task, and texts are attached to the winners.
 """
 
 from __future__ import annotations
@@ -17,18 +17,43 @@ from parchment.constants import (DOCUMENT_STATUSES, EXTRACTION_STATUSES,
                                  FETCH_METHODS, FETCH_STATUSES, REFRESH_POLICIES, SEVERITIES, SOURCE_STATUSES,
                                  SOURCE_TYPES)
 from parchment.operators.joins import bounded_broadcast
+from parchment.session import AS_OF, materialize
 
 
 # ------------------------------------------------------------------ upserts
+def stage_rows(incoming: DataFrame) -> DataFrame:
+    """``incoming`` written once, with a row number ``__row`` that names each row."""
+    return materialize(incoming.withColumn("__row", F.monotonically_increasing_id()), "incoming")
+
+
+def merge_latest(existing: DataFrame | None, staged: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Per key the row latest by ``order``; ``staged`` comes from ``stage_rows``, ``existing`` has unique keys.
+
+    Winners are found on (keys, order) alone, so no aggregate buffer holds a
+    text or a vector; the other columns are attached to them afterwards.  An
+    incoming row wins ties with an existing one, and of equal incoming rows the
+    last.  Null keys are equal, null orders come first.
+    """
+    cols = [c for c in staged.columns if c != "__row"]
+    narrow = staged.select(*keys, F.struct(*order, F.col("__row")).alias("__at"))
+    if existing is not None:
+        stored = existing.select(*keys, F.struct(*order, F.lit(-1).cast("long").alias("__row")).alias("__at"))
+        narrow = narrow.unionByName(stored)
+    won = narrow.groupBy(*keys).agg(F.max("__at")["__row"].alias("__won"))
+    rows = won.where("__won >= 0").select("__won")
+    taken = staged.join(rows, F.col("__row") == F.col("__won"), "left_semi").select(*cols)
+    if existing is None:
+        return taken
+    over = won.where("__won >= 0").select(*keys)
+    same = [F.col(f"e.{k}").eqNullSafe(F.col(f"o.{k}")) for k in keys]
+    kept = existing.alias("e").join(over.alias("o"), same, "left_anti")
+    return kept.select(*cols).unionByName(taken)
+
+
 def upsert_latest(existing: DataFrame, incoming: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Union, then per key the row latest by ``order`` wins (incoming wins ties)."""
+    """Per key the row latest by ``order`` wins (incoming wins ties)."""
     cols = existing.columns
-    both = (existing.select(*cols).withColumn("_src", F.lit(0))
-            .unionByName(incoming.select(*cols).withColumn("_src", F.lit(1))))
-    ok = F.struct(*[F.col(c) for c in order], F.col("_src"))
-    rest = [c for c in cols if c not in keys]
-    agg = both.groupBy(*keys).agg(F.max_by(F.struct(*rest), ok).alias("_v"))
-    return agg.select(*keys, "_v.*").select(*cols)
+    return merge_latest(existing, stage_rows(incoming.select(*cols)), keys, order).select(*cols)
 
 
 def upsert_keep(existing: DataFrame, incoming: DataFrame, keys: list[str], keep: list[str]) -> DataFrame:
@@ -43,19 +68,30 @@ def upsert_keep(existing: DataFrame, incoming: DataFrame, keys: list[str], keep:
 
 
 def seed_merge(existing: DataFrame, seed: DataFrame, key: str, metadata: list[str],
-               reactivate: str | None = None) -> DataFrame:
+               reactivate: str | None = None, inserted: dict[str, F.Column] | None = None) -> DataFrame:
     """Keyed full-outer merge; seed metadata overwrites (nulls too), state columns are kept.
 
-    A row is in the seed when it has the seed's presence mark, whatever its values.
+    A row is in the seed when it has the seed's presence mark, whatever its
+    values.  ``inserted`` gives the other columns of rows that are new (their
+    key, status, flags and times); without it they are null.
     """
     s = seed.select(key, F.lit(True).alias("_seeded"), *[F.col(c).alias(f"_s_{c}") for c in metadata])
-    seeded = F.col("_seeded").isNotNull()
-    out = existing.join(s, key, "full_outer")
-    for c in metadata:
-        out = out.withColumn(c, F.when(seeded, F.col(f"_s_{c}")).otherwise(F.col(c)))
+    seeded, stored = F.col("_seeded").isNotNull(), F.col("_stored").isNotNull()
+    out = existing.withColumn("_stored", F.lit(True)).join(s, key, "full_outer")
+    new = {c: F.when(seeded, F.col(f"_s_{c}")).otherwise(F.col(c)) for c in metadata}
+    for c, value in (inserted or {}).items():
+        new[c] = F.when(stored, new.get(c, F.col(c))).otherwise(F.coalesce(new[c], value) if c in new else value)
     if reactivate:
-        out = out.withColumn(reactivate, F.when(seeded, F.lit(True)).otherwise(F.col(reactivate)))
-    return out.select(*existing.columns)
+        new[reactivate] = F.when(seeded, F.lit(True)).otherwise(F.col(reactivate))
+    return out.withColumns(new).select(*existing.columns)
+
+
+def registry_defaults(as_of: str = AS_OF) -> dict[str, F.Column]:
+    """What a source has when it is first seeded: a key made of its URL, the column defaults, no fetch yet."""
+    now = F.lit(as_of).cast("timestamp")
+    return {"source_id": F.sha2(F.concat(F.lit("source:"), F.col("source_url")), 256), "fetch_method": F.lit("http_get"),
+            "refresh_policy": F.lit("weekly"), "priority": F.lit(100), "is_active": F.lit(True),
+            "last_status": F.lit("not_started"), "created_at": now, "updated_at": now}
 
 
 def apply_corrections(registry: DataFrame, corrections: DataFrame) -> DataFrame:

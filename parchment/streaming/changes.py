@@ -1,77 +1,92 @@
-"""Change detection as a stateful Structured Streaming query.
+"""Change detection over a landing folder, one micro-batch at a time.
 
-State per source is the last known content hash; each micro-batch's rows of
-a source are classified in time order against it (failures keep the old
-hash), exactly like the batch scan (W1).  Input files must arrive in time
-order (as a landing folder fills); within a micro-batch the order is
-restored by sorting.
+The last known hash of every source is a versioned table: version ``b + 1``
+is the state after micro-batch ``b``.  A batch's rows are classified by the
+same skew-safe scan as the batch job (W1), so a source that holds most rows
+is spread over tasks, with the version before the batch as starting point.
+A batch that is run again after a failure reads the same starting version,
+replaces its own rows in the sink and adds its version only if that is not
+there yet: every row counts once.
+
+Within a batch rows are taken in time order; a row that lands late is
+compared with what was known when it arrived.
 """
 
 from __future__ import annotations
 
-import os
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
-
-OUTPUT_SCHEMA = "event_id long, source_id string, fetched_at timestamp, status string, previous_hash string"
-STATE_SCHEMA = "last_hash string"
-
-
-def _classify(key, batches, state):
-    prev = state.get[0] if state.exists else None
-    pdf = pd.concat(list(batches), ignore_index=True).sort_values(["fetched_at", "event_id"], kind="mergesort")
-    statuses, prevs = [], []
-    for h in pdf["content_hash"]:
-        prevs.append(prev)
-        if h is None or (isinstance(h, float) and h != h):
-            statuses.append("failed")
-        elif prev is not None and h == prev:
-            statuses.append("unchanged")
-        else:
-            statuses.append("success")
-        if not (h is None or (isinstance(h, float) and h != h)):
-            prev = h
-    state.update((prev,))
-    yield pd.DataFrame({"event_id": pdf["event_id"].astype("int64"), "source_id": pdf["source_id"],
-                        "fetched_at": pdf["fetched_at"], "status": statuses, "previous_hash": prevs})
-
-
-def change_stream(spark: SparkSession, landing: str, schema, files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(schema)
+
+from parchment.operators.ingest import classify_fetches
+from parchment.sources.snapshots import VersionedTable
+
+FETCH_SCHEMA = "event_id long, source_id string, fetched_at timestamp, content_hash string"
+STATE_SCHEMA = "source_id string, current_hash string"
+COLUMNS = ("event_id", "source_id", "fetched_at", "status", "previous_hash")
+
+
+def known_hashes(spark: SparkSession, work_dir: str) -> VersionedTable:
+    """The versioned table of last known hashes, by source."""
+    return VersionedTable(spark, f"{work_dir}/known", ["source_id"])
+
+
+def classify_batch(spark: SparkSession, rows: DataFrame, batch: int, work_dir: str,
+                   initial: DataFrame | None = None) -> None:
+    """Classify one micro-batch into ``sink/batch=<batch>`` and add the version of the state after it.
+
+    ``initial`` (source_id, current_hash) is the state before the first batch; empty if not given.
+    """
+    known = known_hashes(spark, work_dir)
+    latest = known.latest()
+    if latest is None:
+        known.overwrite(spark.createDataFrame([], STATE_SCHEMA) if initial is None
+                        else initial.select("source_id", "current_hash"))
+    # version 1 is the start, version b + 1 the state before batch b
+    before = known.read(batch + 1).withColumns({"source_type": F.lit(None).cast("string"),
+                                                "source_url": F.lit(None).cast("string")})
+    classify_fetches(rows, before).select(*COLUMNS).write.mode("overwrite").parquet(f"{work_dir}/sink/batch={batch}")
+    if known.latest().number < batch + 2:
+        order = F.struct("fetched_at", "event_id")
+        known.upsert(rows.where(F.col("content_hash").isNotNull()).groupBy("source_id").agg(
+            F.max_by("content_hash", order).alias("current_hash")), [])
+
+
+def take_landed(spark: SparkSession, landing: str, work_dir: str, files_per_trigger: int | None = None,
+                initial: DataFrame | None = None) -> None:
+    """One run: everything that has landed since the last run, then stop (``availableNow``)."""
+    reader = spark.readStream.schema(FETCH_SCHEMA)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    stream = reader.parquet(landing)
-    return stream.groupBy("source_id").applyInPandasWithState(
-        _classify, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
+    def handle(arrived: DataFrame, batch: int) -> None:
+        # written once: the scan reads it several times, and the job below runs in the adaptive session
+        path = f"{work_dir}/arrived/batch={batch}"
+        arrived.write.mode("overwrite").parquet(path)
+        classify_batch(spark, spark.read.schema(FETCH_SCHEMA).parquet(path), batch, work_dir, initial)
 
-def land_in_time_order(fetches: DataFrame, landing: str, files: int = 4) -> bool:
-    """Write a fetch log as ``files`` parquet files in time order.
+    query = (reader.parquet(landing).writeStream.foreachBatch(handle).trigger(availableNow=True)
+             .option("checkpointLocation", f"{work_dir}/checkpoint").start())
+    query.awaitTermination()
 
-    Returns True when the files could be given increasing modification
-    times (local file system), so micro-batches may follow file order.
-    """
-    fetches.repartitionByRange(files, "fetched_at", "event_id").sortWithinPartitions(
-        "fetched_at", "event_id").write.mode("errorifexists").parquet(landing)
-    path = landing[len("file:"):] if landing.startswith("file:") else landing
-    if "://" in path or not os.path.isdir(path):
-        return False
-    parts = sorted(p for p in os.listdir(path) if p.startswith("part-") and p.endswith(".parquet"))
-    for i, p in enumerate(parts):
-        os.utime(os.path.join(path, p), (1_000_000_000 + i, 1_000_000_000 + i))
-    return True
-
-
-def run_change_detection(spark: SparkSession, fetches: DataFrame, work_dir: str) -> DataFrame:
-    """Land the fetch log, run the stream to completion (availableNow), return the sink table."""
-    landing, sink, ckpt = (os.path.join(work_dir, x) for x in ("landing", "sink", "checkpoint"))
-    ordered = land_in_time_order(fetches.select("event_id", "source_id", "fetched_at", "content_hash"), landing)
-    schema = spark.read.parquet(landing).schema
-    out = change_stream(spark, landing, schema, files_per_trigger=1 if ordered else None)
-    q = (out.writeStream.format("parquet").option("path", sink).option("checkpointLocation", ckpt)
-         .outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.read.parquet(sink)
+
+def detected(spark: SparkSession, work_dir: str) -> DataFrame:
+    """The classified rows of all finished batches."""
+    done = known_hashes(spark, work_dir).latest()
+    schema = FETCH_SCHEMA.replace("content_hash string", "status string, previous_hash string, batch int")
+    if done is None or done.number < 2:
+        return spark.createDataFrame([], schema).select(*COLUMNS)
+    rows = spark.read.schema(schema).option("basePath", f"{work_dir}/sink").parquet(f"{work_dir}/sink")
+    return rows.where(F.col("batch") < done.number - 1).select(*COLUMNS)
+
+
+def run_change_detection(spark: SparkSession, fetches: DataFrame, work_dir: str, runs: int = 4) -> DataFrame:
+    """Land a fetch log in ``runs`` slices of time, as a landing folder fills, with one run after each."""
+    rows = fetches.select("event_id", "source_id", "fetched_at", "content_hash")
+    shares = [i / runs for i in range(1, runs)]
+    cuts = rows.agg(F.percentile_approx("fetched_at", shares)).collect()[0][0] or []
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        slice_ = rows.where(((F.col("fetched_at") >= low) if low is not None else F.lit(True))
+                            & ((F.col("fetched_at") < high) if high is not None else F.lit(True)))
+        slice_.write.mode("append").parquet(f"{work_dir}/landing")
+        take_landed(spark, f"{work_dir}/landing", work_dir)
+    return detected(spark, work_dir)
