@@ -756,6 +756,93 @@ def q_append_events(spark, sf):
     return gov.append_new(stored, now, "event_id").select("event_id", "source_id", "status")
 
 
+def _new_table(spark, name: str, keys: list[str]):
+    import uuid
+
+    from parchment.sources.snapshots import VersionedTable
+    return VersionedTable(spark, f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}", keys)
+
+
+# Which run wrote a rule row, by the first hex digit of its text's id: 0-4 the first alone, 5-8 both and the
+# second is newer, 9 and a both and the second is older, b-f the second alone.
+@register("snapshot_quality", Q.with_ctes("""
+  SELECT extracted_text_id, rule_name, passed, measured_value,
+         CASE WHEN substr(extracted_text_id, 1, 1) < '5' OR substr(extracted_text_id, 1, 1) IN ('9', 'a')
+              THEN 'first' ELSE 'second' END AS run
+  FROM rules""", "rules"))
+def q_snapshot_quality(spark, sf):
+    """Rule results written, upserted with newer, older and new rows, and read back."""
+    rules = documents.quality_rules(corpus.corpus_records(spark, sf))
+    digit = F.substring("extracted_text_id", 1, 1)
+    first = rules.where(digit < "b").withColumns({"run": F.lit("first"), "run_number": F.lit(2)})
+    second = rules.where(digit >= "5").withColumns({
+        "run": F.lit("second"), "run_number": F.when(digit.isin("9", "a"), F.lit(1)).otherwise(F.lit(3))})
+    table = _new_table(spark, "quality", ["extracted_text_id", "rule_name"])
+    table.overwrite(first)
+    table.upsert(second, ["run_number"])
+    return table.read().select("extracted_text_id", "rule_name", "passed", "measured_value", "run")
+
+
+@register("snapshot_chunks", Q.with_ctes("""
+  SELECT document_id, chunk_index, chunk_text, CASE WHEN chunk_index % 3 = 2 THEN 'second' ELSE 'first' END AS run
+  FROM chunks""", "chunks"))
+def q_snapshot_chunks(spark, sf):
+    """Stored chunks stay where the run that comes later holds older ones or none; texts come back whole."""
+    chunks = corpus.corpus_chunks(spark, sf).select("document_id", "chunk_index", "chunk_text")
+    turn = F.col("chunk_index") % 3
+    table = _new_table(spark, "chunks", ["document_id", "chunk_index"])
+    table.overwrite(chunks.where(turn < 2).withColumns({"run": F.lit("first"), "run_number": F.lit(2)}))
+    table.upsert(chunks.where(turn > 0).withColumns({"run": F.lit("second"), "run_number": F.lit(1)}), ["run_number"])
+    return table.read().select("document_id", "chunk_index", "chunk_text", "run")
+
+
+@register("snapshot_events", Q.with_ctes("""
+  SELECT event_id, source_id, status, CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 3 END AS run
+  FROM fetch_classified""", "fetch_classified"))
+def q_snapshot_events(spark, sf):
+    """Three runs append their events; events that come again with another status change nothing."""
+    events = corpus.fetch_events(spark, sf).select("event_id", "source_id", "status")
+    turn = F.col("event_id") % 4
+    resent = F.when(turn == 1, F.lit("resent")).otherwise(F.col("status"))
+    table = _new_table(spark, "events", ["event_id"])
+    table.append(events.where(turn < 2).withColumn("run", F.lit(1)))
+    table.append(events.where(turn.isin(1, 2)).withColumns({"status": resent, "run": F.lit(2)}))
+    table.append(events.where(turn == 3).withColumn("run", F.lit(3)))
+    return table.read()
+
+
+@register("raw_objects_once", Q.with_ctes("""
+  SELECT object_path, octet_length(encode(any_value(content))) AS n_bytes, CAST(count(DISTINCT content) AS BIGINT) AS copies
+  FROM events_classified WHERE status = 'success' GROUP BY object_path""", "events_classified"))
+def q_raw_objects_once(spark, sf):
+    """S3: landed objects stored under their content address; an address is written once, whatever lands again."""
+    landed = corpus.corpus_events(spark, sf).where("status = 'success'").select("object_path", "content", "fetched_at")
+    early = landed.where(F.col("fetched_at") < F.lit(PREVIOUS_RUN_AT).cast("timestamp"))
+    table = _new_table(spark, "objects", ["object_path"])
+    table.append(early.select("object_path", "content"))
+    table.append(landed.select("object_path", "content"))
+    stored = table.read().select("object_path", F.octet_length("content").alias("n_bytes"))
+    return stored.groupBy("object_path", "n_bytes").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@register("seed_sources", Q.with_ctes("""
+  SELECT CASE WHEN n % 3 = 0 THEN sha256('source:' || source_url) ELSE source_id END AS source_id, source_url,
+         priority + 1 AS priority, 'seeded' AS notes, (n % 3 = 0 OR is_active) AS is_active,
+         CASE WHEN n % 3 = 0 THEN 'not_started' ELSE last_status END AS last_status,
+         CASE WHEN n % 3 = 0 THEN 'http_get' ELSE fetch_method END AS fetch_method,
+         CASE WHEN n % 3 = 0 THEN 'weekly' ELSE refresh_policy END AS refresh_policy
+  FROM (SELECT *, CAST(regexp_extract(source_id, '([0-9]+)$', 1) AS INTEGER) AS n FROM registry)""", "registry"))
+def q_seed_sources(spark, sf):
+    """A seed of all sources over a registry that lacks every third: new rows get a key and the defaults."""
+    reg = fixtures.registry(spark, sf)
+    number = F.regexp_extract("source_id", r"(\d+)$", 1).cast("int")
+    metadata = ["source_name", "source_type", "agency", "domain", "topic", "priority", "notes"]
+    seed = reg.withColumns({"priority": F.col("priority") + 1, "notes": F.lit("seeded")}).select("source_url", *metadata)
+    merged = gov.seed_merge(reg.where(number % 3 != 0), seed, "source_url", metadata, inserted=gov.registry_defaults())
+    return merged.select("source_id", "source_url", "priority", "notes", "is_active", "last_status", "fetch_method",
+                         "refresh_policy")
+
+
 @register("work_order", Q.with_ctes("""
   SELECT source_id, priority FROM registry WHERE is_active ORDER BY priority, source_id LIMIT 10""", "registry"))
 def q_work_order(spark, sf):
@@ -1182,7 +1269,7 @@ def q_weak_citations(spark, sf):
 @register("stream_changes", Q.with_ctes("""
   SELECT event_id, source_id, status, previous_hash FROM fetch_classified""", "fetch_classified"))
 def q_stream_changes(spark, sf):
-    """The stateful stream gives the same statuses as the batch scan."""
+    """Four runs over a filling landing folder give the same statuses as the batch scan."""
     import uuid
 
     from parchment.streaming.changes import run_change_detection

@@ -122,28 +122,40 @@ def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lab.join(docs, "doc_id", "inner")
 
 
+# Passages without a word that must stand whole in a document are tested in blocks of this many.
+_SHORT_BLOCK = 1024
+
+
 def passage_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(item_id, doc_id) for every document that contains a benchmark passage verbatim.
+    """(item_id, doc_id) for every document that contains a benchmark passage verbatim."""
+    return contained_passages(read_table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage")),
+                              read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def contained_passages(bench: DataFrame, docs: DataFrame) -> DataFrame:
+    """(item_id, doc_id) for every text of ``docs`` that contains a ``passage`` of ``bench`` verbatim.
 
     A substring test between two tables is a theta join; instead every
     passage contributes an anchor of whole words that any containing document
     must hold as consecutive words (its 2nd-4th words; the first and last may
     be cut).  Documents' word trigrams, hashed, are equi-joined to the hashed
     anchors and each candidate is then verified with ``instr`` on the whole
-    texts (so hash collisions cannot add a match).
+    texts (so hash collisions cannot add a match).  Passages of one or two
+    words have no word that must stand whole: they are looked for in every
+    text, a block of passages at a time.  A null passage or one without a word
+    is in no document, a null text contains nothing.
     """
-    bench = read_table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage"))
-    bw = bench.withColumn("_w", words("passage")).withColumn("_m", F.size("_w"))
-    anchors = bw.select(
+    from pyspark.ml.feature import NGram
+
+    bw = bench.where(F.col("passage").isNotNull()).withColumn("_w", words("passage")).withColumn("_m", F.size("_w"))
+    anchors = bw.where("_m >= 3").select(
         "item_id",
         F.when(F.col("_m") >= 5, F.xxhash64(F.concat_ws(" ", F.slice("_w", 2, 3))))
-         .when(F.col("_m") >= 3, F.xxhash64(F.element_at("_w", 2)))
-         .otherwise(F.xxhash64(F.element_at("_w", 1))).alias("anchor"),
+         .otherwise(F.xxhash64(F.try_element_at("_w", F.lit(2)))).alias("anchor"),
         F.when(F.col("_m") >= 5, F.lit(3)).otherwise(F.lit(1)).alias("anchor_len"))
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = docs.where(F.col("text").isNotNull())
     dw = docs.select("doc_id", words("text").alias("_w"))
     # word trigrams via slicing the array (no self-join)
-    from pyspark.ml.feature import NGram
     tri = NGram(n=3, inputCol="_w", outputCol="_tri").transform(dw)
     tri3 = tri.select("doc_id", F.explode(F.array_distinct("_tri")).alias("_t")).select(
         "doc_id", F.xxhash64("_t").alias("anchor"))
@@ -155,6 +167,21 @@ def passage_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
         cand = cand.unionByName(
             uni.join(small.where("anchor_len = 1"), "anchor").select("item_id", "doc_id"))
     cand = cand.distinct()
-    checked = (cand.join(bench, "item_id").join(docs, "doc_id")
-               .where(F.instr(F.col("text"), F.col("passage")) > 0))
-    return checked.select("item_id", "doc_id")
+    found = (cand.join(bench, "item_id").join(docs, "doc_id")
+             .where(F.instr(F.col("text"), F.col("passage")) > 0)).select("item_id", "doc_id")
+    short = bw.where("_m BETWEEN 1 AND 2").select("item_id", "passage")
+    for block in _blocks(short, "item_id"):
+        asked = F.array(*[F.struct(F.lit(r["item_id"]).alias("item_id"), F.lit(r["passage"]).alias("passage")) for r in block])
+        held = F.filter(asked, lambda q: F.contains(F.col("text"), q["passage"]))
+        found = found.unionByName(docs.select(F.explode(held).alias("q"), "doc_id").select("q.item_id", "doc_id"))
+    return found
+
+
+def _blocks(rows: DataFrame, key: str):
+    """The rows in blocks of at most ``_SHORT_BLOCK``, one block on the driver at a time."""
+    block = rows.orderBy(key, "passage").limit(_SHORT_BLOCK).collect()
+    while block:
+        yield block
+        last = block[-1]
+        after = (F.col(key) > last[key]) | ((F.col(key) == last[key]) & (F.col("passage") > last["passage"]))
+        block = rows.where(after).orderBy(key, "passage").limit(_SHORT_BLOCK).collect()

@@ -1,4 +1,4 @@
-"""Reading the landed tables and writing snapshots."""
+"""Reading the landed tables (S10) and writing metrics (S8); versioned tables are in ``snapshots``."""
 
 from __future__ import annotations
 
@@ -15,14 +15,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Upserts never overwrite the snapshot being read: each run writes a new one."""
-    writer = df.write.mode("errorifexists")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
-
-
 def write_json(df: DataFrame, path: str) -> None:
     """Metrics sink as JSON lines."""
     df.coalesce(1).write.mode("overwrite").json(path)

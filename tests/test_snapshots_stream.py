@@ -6,6 +6,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 
 from parchment.operators import governance as gov
+from parchment.sources import fixtures
 from parchment.sources.fixtures import registry_from_ids
 from parchment.sources.snapshots import VersionConflict, VersionedTable
 from parchment.streaming import changes
@@ -118,3 +119,13 @@ def test_stream_with_a_hot_source_and_a_failed_batch_counts_every_row_once(spark
 def test_stream_of_an_empty_log(spark, tmp_path):
     out = changes.run_change_detection(spark, spark.createDataFrame([], changes.FETCH_SCHEMA), f"{tmp_path}/e")
     assert out.count() == 0 and out.columns == list(changes.COLUMNS)
+
+def test_contained_passages_cut_words_empty_null_and_short_blocks(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "_SHORT_BLOCK", 2)
+    texts = [(1, "zab cde f"), (2, "ab cd"), (3, None), (4, ""), (5, "one two three four five six"), (6, "xone two threey")]
+    asked = [(1, "ab cd"), (2, ""), (3, None), (4, " "), (5, "e"), (6, "one two three"), (7, "ne two three four fi"), (8, "f"),
+             (9, "absent"), (10, "six")]
+    bench = spark.createDataFrame(asked, "item_id long, passage string")
+    got = fixtures.contained_passages(bench, spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    want = sorted((i, d) for i, p in asked for d, t in texts if p and p.strip() and t and p in t)
+    assert sorted(map(tuple, got)) == want and (1, 1) in want
