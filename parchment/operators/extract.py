@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import html
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from parchment.constants import EXTRACT_MIN_CHARACTERS
 from parchment.functions.text import normalize_lines, word_count
@@ -11,22 +15,24 @@ from parchment.functions.text import normalize_lines, word_count
 # --- fixed values: HTML handling --------------------------------------------
 # Elements whose content is dropped entirely.
 DROPPED_ELEMENTS = ("script", "style", "noscript")
-# Named and numeric character references decoded after tag removal
-# ("&amp;" is decoded last so that "&amp;lt;" stays "&lt;").
-HTML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
-                 ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
-TAG_PATTERN = r"(?s)<!--.*?-->|<[A-Za-z/!?][^>]*>"
+TAG_PATTERN = r"(?s)<!--.*?(?:-->|\z)|<[A-Za-z/!?][^>]*>"
+
+
+@F.pandas_udf(StringType())
+def decode_references(texts: pd.Series) -> pd.Series:
+    """Every HTML character reference, named, decimal or hexadecimal, decoded once (``&amp;lt;`` gives ``&lt;``)."""
+    return texts.map(lambda t: html.unescape(t) if t and "&" in t else t)
 
 
 def html_to_text(col) -> F.Column:
-    """Drop script/style/noscript blocks, turn tags into line breaks, decode, C6."""
+    """Drop script/style/noscript blocks, turn tags into line breaks, decode references, C6.
+
+    A block or a comment that is never closed reaches to the end of the page.
+    """
     c = F.col(col) if isinstance(col, str) else col
     for el in DROPPED_ELEMENTS:
-        c = F.regexp_replace(c, rf"(?is)<{el}\b.*?</{el}\s*>", " ")
-    c = F.regexp_replace(c, TAG_PATTERN, "\n")
-    for ent, ch in HTML_ENTITIES:
-        c = F.replace(c, F.lit(ent), F.lit(ch))
-    return normalize_lines(c)
+        c = F.regexp_replace(c, rf"(?is)<{el}\b.*?(?:</{el}\s*>|\z)", " ")
+    return normalize_lines(decode_references(F.regexp_replace(c, TAG_PATTERN, "\n")))
 
 
 def decode_utf8_lenient(binary_col) -> F.Column:
@@ -54,7 +60,7 @@ def route_extraction(df: DataFrame, source_type: str = "source_type", raw_text:
     """
     st = F.col(source_type)
     method = F.when(st == "html", "html_text").when(st == "pdf", "pdf_text").otherwise("unsupported")
-    text = (F.when(st == "html", html_to_text(raw_text))
+    text = (F.when(st == "html", html_to_text(F.when(st == "html", F.col(raw_text))))
             .when(st == "pdf", normalize_lines(raw_text)))
     out = df.withColumn("extraction_method", method).withColumn("extracted_text", text)
     chars = F.coalesce(F.length("extracted_text"), F.lit(0)).cast("int")

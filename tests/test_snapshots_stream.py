@@ -5,6 +5,7 @@ import uuid
 import pytest
 from pyspark.errors import StreamingQueryException
 
+from parchment.operators import extract
 from parchment.operators import governance as gov
 from parchment.sources import fixtures
 from parchment.sources.fixtures import registry_from_ids
@@ -129,3 +130,12 @@ def test_contained_passages_cut_words_empty_null_and_short_blocks(spark, monkeyp
     got = fixtures.contained_passages(bench, spark.createDataFrame(texts, "doc_id long, text string")).collect()
     want = sorted((i, d) for i, p in asked for d, t in texts if p and p.strip() and t and p in t)
     assert sorted(map(tuple, got)) == want and (1, 1) in want
+
+
+def test_html_references_and_unclosed_blocks(spark):
+    pages = [("a&mdash;b&#8217;s&#x27;&eacute;", "a—b’s'é"), ("x &amp;lt; y &lt;b&gt; &unknown; & &&", "x &lt; y <b> &unknown; & &&"),
+             ("kept<script>var a = '<p>'", "kept"), ("kept<!-- never closed <p>gone</p>", "kept"), (None, None), ("", ""),
+             ("<STYLE>p{}</STYLE >a<p>b&nbsp;c</p>", "a\nb c"), ("a < b and c > d", "a < b and c > d")]
+    df = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(pages)], "i int, page string")
+    got = [r["t"] for r in df.select("i", extract.html_to_text("page").alias("t")).orderBy("i").collect()]
+    assert [g and " ".join(g.split(" ")).replace("\xa0", " ") for g in got] == [w for _, w in pages]
