@@ -8,7 +8,8 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from parchment.session import checkpoint_root
 
@@ -66,6 +67,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{table}.parquet"))
 
 
+def whole(docs: DataFrame, **more: Column) -> DataFrame:
+    """``row`` (all columns of ``docs`` in one struct) beside ``more``, so that no name can clash with a column of ``docs``.
+
+    ``more`` is computed from the columns of ``docs``; ``select("row.*")`` gives these back.
+    """
+    return docs.select(F.struct("*").alias("row"), *[c.alias(name) for name, c in more.items()])
+
+
+def row_order(docs: DataFrame) -> Column:
+    """A hash of a whole row, to choose among rows that repeat an id (maps cannot be hashed and stay out)."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()])
+
+
 def utf8(column) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of an Arrow string column, concatenated, and its n+1 offsets; null is empty."""
     if isinstance(column, pa.ChunkedArray):

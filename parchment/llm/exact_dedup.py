@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parchment.llm import exchange
-from parchment.llm.common import NO_ID, stage
+from parchment.llm.common import NO_ID, row_order, stage, whole
 
 SENDER_ROWS_LOG2 = 17
 _BLANKS = r"[\x20\x09-\x0D]+"
@@ -97,9 +97,12 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def keep_first(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that :func:`exact_dedup` keeps, with all columns."""
+    """The rows of ``docs`` that :func:`exact_dedup` keeps, with all columns, whatever their names.
+
+    Of rows that repeat both doc_id and text, but differ elsewhere, the one with the smallest row hash stays.
+    """
     kept = exact_dedup(docs, doc_id, text).where("kept").select(
-        F.col("doc_id").alias("__id"), F.unhex("text_sha256").alias("__sha"))
-    return (docs.withColumn("__of", _sha(normalised(text)))
-            .join(kept, F.col(doc_id).cast("long").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__sha")), "left_semi")
-            .dropDuplicates([doc_id, "__of"]).drop("__of"))
+        F.col("doc_id").alias("k_id"), F.unhex("text_sha256").alias("k_sha"))
+    rows = whole(docs, id=F.col(doc_id).cast("long"), sha=_sha(normalised(text)), place=row_order(docs))
+    return (rows.join(kept, F.col("id").eqNullSafe(F.col("k_id")) & (F.col("sha") == F.col("k_sha")), "left_semi")
+            .groupBy("id", "sha").agg(F.min_by("row", "place").alias("row")).select("row.*"))

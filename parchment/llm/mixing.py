@@ -18,7 +18,8 @@ import itertools
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from parchment.llm.common import stage
+from parchment.llm.common import NO_ID, row_order, stage, whole
+from parchment.operators.scan import row_number_by
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -110,14 +111,28 @@ def mix(docs: DataFrame, quality: F.Column | None = None, doc_id: str = "doc_id"
 
 
 def take(docs: DataFrame, mixed: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` as often as :func:`mix` takes them, with all columns; documents taken 0 words go."""
-    n = mixed.where("taken > 0").groupBy("doc_id", "text_hash").agg(
-        F.sum("copies").alias("__copies"), F.count(F.lit(1)).alias("__rows"))
-    plan = n.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"),
-                    F.ceil(F.col("__copies") / F.col("__rows")).cast("int").alias("__copies"))
-    return (docs.withColumn("__of", F.xxhash64(F.col(text)))
-            .join(plan, F.col(doc_id).cast("long").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__hash")))
-            .withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(docs.columns))
+    """The rows of ``docs`` as often as :func:`mix` takes them, with all columns, whatever their names.
+
+    Documents taken 0 words go.  Rows that repeat doc_id and text share the
+    copies of theirs: each gets an even part, and the first by row hash one
+    more until all are dealt.
+    """
+    plan = stage(mixed.groupBy(F.col("doc_id").alias("p_id"), F.col("text_hash").alias("p_hash")).agg(
+        F.sum(F.when(F.col("taken") > 0, F.col("copies")).otherwise(0)).alias("copies"),
+        F.count(F.lit(1)).alias("repeats")).where("copies > 0"), "mix-plan")
+
+    def rows(part: DataFrame, **more) -> DataFrame:
+        found = whole(docs, id=F.col(doc_id).cast("long"), hash=F.xxhash64(F.col(text)), **more)
+        return found.join(part, F.col("id").eqNullSafe(F.col("p_id")) & (F.col("hash") == F.col("p_hash")))
+
+    uneven = F.col("copies") % F.col("repeats") != 0
+    dealt = rows(plan.where(~uneven)).select("row", F.expr("copies div repeats").alias("n"))
+    if not plan.where(uneven).isEmpty():
+        some = rows(plan.where(uneven), place=row_order(docs)).withColumn("key", F.coalesce("id", F.lit(NO_ID)))
+        some = row_number_by(some, ["key", "hash"], ["place"], "nth")
+        dealt = dealt.unionByName(some.select(
+            "row", (F.expr("copies div repeats") + (F.col("nth") <= F.col("copies") % F.col("repeats")).cast("long")).alias("n")))
+    return dealt.where("n > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("n").cast("int")))).select("row.*")
 
 
 def lexical_quality(text: str) -> F.Column:

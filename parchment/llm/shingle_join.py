@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from parchment.llm import blocks, exchange
-from parchment.llm.common import BLOCK_ROWS, NO_ID, mix, stage
+from parchment.llm.common import BLOCK_ROWS, NO_ID, mix, stage, whole
 from parchment.llm.components import components
 
 ORDERS = 3
@@ -289,6 +289,10 @@ def shingle_components(docs: DataFrame, rule: Rule = QUERY_RULE, doc_id: str = "
 
 
 def keep_representatives(docs: DataFrame, rule: Rule = STAGE_RULE, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are the first of their component (or have no doc_id), with all columns."""
-    gone = shingle_components(docs, rule, doc_id, text).where("component_id < doc_id").select(F.col("doc_id").alias("__gone"))
-    return docs.join(gone, F.col(doc_id).cast("long") == F.col("__gone"), "left_anti")
+    """The rows of ``docs`` that are the first of their component (or have no doc_id), with all columns, whatever their names.
+
+    Rows that repeat the first's doc_id all stay: they are one document to this operator.
+    """
+    gone = shingle_components(docs, rule, doc_id, text).where("component_id < doc_id").select(F.col("doc_id").alias("gone"))
+    rows = whole(docs, id=F.col(doc_id).cast("long"))
+    return rows.join(gone, F.col("id") == F.col("gone"), "left_anti").select("row.*")
