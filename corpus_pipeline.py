@@ -2,7 +2,15 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; it works on
 all rows its predecessor kept.  All but the last return the columns of
-``documents``.
+``documents``, whatever further columns there are and however they are named.
+
+The same rules hold in every stage: a null text counts as empty (the
+classifier scores empty texts too, near copies never link them); a null doc_id
+is a document of its own and counts as larger than any other; a null source is
+a source of its own; texts are taken whole at any length.  Rows that repeat
+doc_id and text are exact copies: one stays, the one with the smallest hash of
+the whole row.  An empty ``documents`` gives an empty result; without labels
+the classifier scores 0.5 and rejects nothing.
 """
 
 from __future__ import annotations
