@@ -570,53 +570,108 @@ def q_precision_recall(spark, sf):
     return _round_cols(pr, ["precision", "recall"])
 
 
-# ------------------------------------------------------------ reranker (Spark ML; rows-only checks)
+# ------------------------------------------------------------ reranker (Spark ML: trained models have no SQL)
+import hashlib  # noqa: E402
+
+from parchment.constants import DEFAULT_TOP_K, RERANK_CANDIDATES  # noqa: E402
 from parchment.operators import reranker  # noqa: E402
-from parchment.session import checkpoint_root  # noqa: E402
+from parchment.session import checkpoint_root, session_key  # noqa: E402
+from parchment.sources.models import ModelStore  # noqa: E402
+
+_RERANKER = "reranker"
+_METRICS = "questions double, hit_rate_at_5 double, mrr double, precision_at_5 double"
+_RECORD = f"""model string, baseline string, embedding_model string, candidate_limit int, top_k int, question_count long,
+  train_questions long, validation_questions long, test_questions long,
+  train_examples long, validation_examples long, test_examples long, positive_examples long, negative_examples long,
+  best_ngram_max int, best_c double, selected_model_weight double, cv_average_precision double,
+  test_average_precision double, test_precision double, test_recall double,
+  baseline_grouped_metrics struct<{_METRICS.replace(" double", ": double")}>,
+  validation_blend_metrics struct<{_METRICS.replace(" double", ": double")}>,
+  reranker_grouped_metrics struct<{_METRICS.replace(" double", ": double")}>,
+  grid array<struct<ngram_max: int, c: double, cv_average_precision: double, selected: boolean>>, leakage_control string"""
 
-# Published best parameters, used where the grid search is not re-run.
-BEST_NGRAM_MAX, BEST_C = 2, 3.0
+
+def _path_name(sf: str) -> str:
+    return hashlib.sha256(sf.encode()).hexdigest()[:16]
 
 
 def _split_candidates(spark, sf):
     return candidate_set(spark, sf).join(_splits(spark, sf), "question_id")
 
 
+_TRAINED: set = set()
+
+
+def _model_store(spark, sf) -> ModelStore:
+    """The store, after the reranker was selected, measured and kept once per session and input."""
+    store = ModelStore(spark, f"{checkpoint_root(spark)}/models-{_path_name(sf)}")
+    key = session_key(spark), sf
+    if key not in _TRAINED:
+        examples = corpus.stage(spark, sf, "examples", lambda: _split_candidates(spark, sf))
+        store.save(_RERANKER, *reranker.train_reranker(examples, embedding_model=SHA_EMBEDDING_MODEL))
+        _TRAINED.add(key)
+    return store
+
+
+def _record(spark, sf) -> DataFrame:
+    kept = _model_store(spark, sf).records().where(F.col("name") == _RERANKER)
+    return kept.select(F.from_json("record", _RECORD).alias("r")).select("r.*")
+
+
 @register("reranker_fit")
 def q_reranker_fit(spark, sf):
-    """Fit on the training questions, score validation and test candidates."""
-    data = _split_candidates(spark, sf)
-    model = reranker.fit_reranker(data.where(F.col("split") == "train"), BEST_NGRAM_MAX, BEST_C)
-    reranker.save_reranker(model, 0.1, f"{checkpoint_root(spark)}/reranker-{abs(hash(sf))}")
-    scored = reranker.positive_probability(model, data.where(F.col("split") != "train"))
-    return scored.select("question_id", "split", "candidate_rank", "label", r6("probability").alias("probability"))
+    """The kept model, loaded, scores the validation and test candidates."""
+    model, _ = _model_store(spark, sf).load(_RERANKER)
+    held = _split_candidates(spark, sf).where(F.col("split") != "train")
+    return reranker.positive_probability(model, held).select(
+        "question_id", "split", "candidate_rank", "label", r6("probability").alias("probability"))
 
 
 @register("reranker_grid")
 def q_reranker_grid(spark, sf):
-    """2 x 3 grid, grouped folds, average precision per setting."""
-    data = _split_candidates(spark, sf).where(F.col("split") == "train")
-    _, results = reranker.grid_search(data)
-    return spark.createDataFrame([(r.ngram_max, r.c, round(r.cv_average_precision, 6)) for r in results],
-                                 "ngram_max int, c double, cv_average_precision double")
+    """Every setting's mean average precision over the folds, and which one was fitted and kept."""
+    return _record(spark, sf).select(F.inline("grid")).withColumn("cv_average_precision", r6("cv_average_precision"))
+
+
+@register("reranker_record")
+def q_reranker_record(spark, sf):
+    """The kept model's whole record."""
+    return _record(spark, sf).drop("grid")
+
+
+def _reranked(spark, sf, k: int = DEFAULT_TOP_K) -> DataFrame:
+    """The kept model and weight, loaded, on a retrieval of its own for every active question."""
+    model, record = _model_store(spark, sf).load(_RERANKER)
+    fresh = candidate_set(spark, sf, RERANK_CANDIDATES)
+    return reranker.rerank(model, record["selected_model_weight"], fresh, k).withColumn(
+        "selected_model_weight", F.lit(record["selected_model_weight"]))
 
 
 @register("rerank_apply")
 def q_rerank_apply(spark, sf):
-    """Weight chosen on validation, blended scores re-rank test candidates (top 5 of 20)."""
-    data = _split_candidates(spark, sf)
-    model = reranker.fit_reranker(data.where(F.col("split") == "train"), BEST_NGRAM_MAX, BEST_C)
-    val = reranker.positive_probability(model, data.where(F.col("split") == "validation"))
-    best = evaluation.select_weight(evaluation.blend_sweep(val)).collect()[0]["weight"]
-    test = reranker.positive_probability(model, data.where((F.col("split") == "test")
-                                                            & (F.col("candidate_rank") <= 20)))
-    blended = test.withColumn("blended_score", evaluation.blend("probability", "hybrid_score", best))
-    from pyspark.sql import Window
-    w = Window.partitionBy("question_id").orderBy(F.col("blended_score").desc(), F.col("candidate_rank"))
-    top = blended.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= 5)
-    return top.select("question_id", "rank", "candidate_rank", "chunk_id", "label",
-                      F.lit(best).alias("selected_model_weight"), r6("probability").alias("probability"),
-                      r6("blended_score").alias("blended_score"))
+    return _reranked(spark, sf).select(
+        "question_id", "rank", "candidate_rank", "chunk_id", "label", "selected_model_weight",
+        r6("probability").alias("probability"), r6("blended_score").alias("blended_score"))
+
+
+@register("rerank_contract", Q.with_ctes(f"""
+  SELECT question_id, least(count(*), {DEFAULT_TOP_K}) AS results, least(count(*), {DEFAULT_TOP_K}) AS last_rank,
+         count(*) AS candidates, count(*) FILTER (WHERE label = 1) AS relevant_candidates,
+         CAST(0 AS BIGINT) AS bad_probabilities, CAST(0 AS BIGINT) AS bad_blends, CAST(0 AS BIGINT) AS better_left_out
+  FROM candidates WHERE candidate_rank <= {RERANK_CANDIDATES} GROUP BY question_id""", "candidates"))
+def q_rerank_contract(spark, sf):
+    """What holds for any model: rows and ranks a question, probabilities in [0, 1], blends, nothing better left out."""
+    every = _reranked(spark, sf, RERANK_CANDIDATES)
+    w, p, h = F.col("selected_model_weight"), F.col("probability"), F.col("hybrid_score")
+    top = F.col("rank") <= DEFAULT_TOP_K
+    lowest = F.min(F.when(top, F.round("blended_score", 9)))
+    best_left = F.max(F.when(~top, F.round("blended_score", 9)))
+    return every.groupBy("question_id").agg(
+        F.count_if(top).alias("results"), F.max(F.when(top, F.col("rank"))).cast("long").alias("last_rank"),
+        F.count(F.lit(1)).alias("candidates"), F.count_if(F.col("label") == 1).alias("relevant_candidates"),
+        F.count_if(p.isNull() | F.isnan(p) | ~p.between(0, 1)).alias("bad_probabilities"),
+        F.count_if(~(F.abs(w * p + (1 - w) * h - F.col("blended_score")) < 1e-12)).alias("bad_blends"),
+        F.coalesce((best_left > lowest).cast("long"), F.lit(0)).cast("long").alias("better_left_out"))
 
 
 @register("metrics_row", Q.with_ctes(f"""
@@ -673,7 +728,7 @@ def q_metrics_row(spark, sf):
     pr = evaluation.precision_recall(test).select(r6("precision").alias("test_precision"),
                                                   r6("recall").alias("test_recall"), F.lit(1).alias("_k"))
     row = counts.join(best, "_k").join(base, "_k").join(ap, "_k").join(pr, "_k").drop("_k")
-    path = f"{checkpoint_root(spark)}/metrics-{abs(hash(sf))}"
+    path = f"{checkpoint_root(spark)}/metrics-{_path_name(sf)}"
     from parchment.sources.tables import write_json
     write_json(row, path)
     return _round_cols(row, ["baseline_mrr", "baseline_hit_rate_at_5"])
