@@ -156,7 +156,7 @@ def average_precision(scored: DataFrame, label: str = "label", score: str = "pro
     by_t = (scored.groupBy(*group, score).agg(F.sum(label).cast("long").alias("_tp"), F.count(F.lit(1)).alias("_n"))
             .withColumn("_neg", -F.col(score)))
     run = running_sum_by(by_t, group, ["_neg"], ["_tp", "_n"], ["_ctp", "_cn"])
-    tot = run.groupBy(*group).agg(F.sum("_tp").alias("_P"))
+    tot = scored.groupBy(*group).agg(F.sum(label).cast("long").alias("_P"))
     run = run.join(tot, group, "inner") if group else _attach_total(run, tot)
     return run.groupBy(*group).agg(
         F.coalesce(F.sum(F.when(F.col("_P") > 0, (F.col("_tp") / F.col("_P")) * (F.col("_ctp") / F.col("_cn")))),

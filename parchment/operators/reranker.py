@@ -17,6 +17,8 @@ libraries', so coefficients differ; the metrics are what is compared.
 
 from __future__ import annotations
 
+import threading
+from collections import Counter
 from collections.abc import Iterator
 
 from pyspark.ml import Estimator, PipelineModel
@@ -35,8 +37,10 @@ from parchment.constants import (CANDIDATE_LIMIT, DEFAULT_TOP_K, EMBEDDING_MODEL
                                  TFIDF_MAX_FEATURES)
 from parchment.operators import evaluation
 from parchment.operators.scan import row_number_by
+from parchment.session import materialize
 
 SPLITS = ("train", "validation", "test")
+PARALLEL_FITS = 6  # settings of one fold fitted and scored at a time; each is a chain of small jobs
 
 
 class BalancedReranker(Estimator):
@@ -54,20 +58,37 @@ class BalancedReranker(Estimator):
 
     def fitMultiple(self, dataset: DataFrame, paramMaps) -> Iterator[tuple[int, PipelineModel]]:  # noqa: N802, N803
         """Models by index of their setting; text features do not depend on C and are fitted once per n-gram range."""
-        settings: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for i, extra in enumerate(paramMaps):
-            own = self.copy(extra)
-            key = own.getOrDefault(own.getParam("ngramMax")), own.getOrDefault(own.getParam("maxFeatures"))
-            settings.setdefault(key, []).append((i, own.getOrDefault(own.getParam("c"))))
-        rows, n = balanced(dataset)
-        for (ngram_max, max_features), members in settings.items():
-            stages, featured = text_features(rows, ngram_max, max_features)
-            featured = featured.select("features", "label", "weight").persist()
-            try:
-                for i, c in members:
-                    yield i, PipelineModel([*stages, classifier(c, n).fit(featured)])
-            finally:
+        own = [self.copy(extra) for extra in paramMaps]
+        return _Fits(*balanced(dataset), [(o.getOrDefault(o.getParam("ngramMax")), o.getOrDefault(o.getParam("maxFeatures")),
+                                           o.getOrDefault(o.getParam("c"))) for o in own])
+
+
+class _Fits:
+    """Iterator over (index, model) that several threads may share, as Spark ML's parallel cross-validation does."""
+
+    def __init__(self, rows: DataFrame, n: int, settings: list[tuple[int, int, float]]):
+        self._rows, self._n, self._settings, self._lock = rows, n, settings, threading.Lock()
+        self._order = iter(sorted(range(len(settings)), key=lambda i: settings[i][:2]))
+        self._features: dict = {}
+        self._open = Counter(s[:2] for s in settings)
+
+    def __iter__(self) -> _Fits:
+        return self
+
+    def __next__(self) -> tuple[int, PipelineModel]:
+        with self._lock:
+            i = next(self._order)
+            key, c = self._settings[i][:2], self._settings[i][2]
+            if key not in self._features:
+                stages, featured = text_features(self._rows, *key)
+                self._features[key] = stages, featured.select("features", "label", "weight").persist()
+        stages, featured = self._features[key]
+        model = PipelineModel([*stages, classifier(c, self._n).fit(featured)])
+        with self._lock:
+            self._open[key] -= 1
+            if not self._open[key]:
                 featured.unpersist()
+        return i, model
 
 
 class AveragePrecision(Evaluator):
@@ -138,8 +159,10 @@ def select_model(train: DataFrame, grid_ngram=GRID_NGRAM_MAX, grid_c=GRID_C) ->
     est = BalancedReranker()
     grid = ParamGridBuilder().addGrid(est.c, list(grid_c)).addGrid(est.ngramMax, list(grid_ngram)).build()
     grid = sorted(grid, key=lambda s: (s[est.c], s[est.ngramMax]))
+    # Written once: every optimiser step is a job over as many tasks as the table needs, not one for each shuffle partition.
+    rows = materialize(with_folds(train, n_folds).select("text", "label", "fold"), "reranker-folds")
     found = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=AveragePrecision(), numFolds=n_folds,
-                           foldCol="fold").fit(with_folds(train, n_folds).select("text", "label", "fold"))
+                           foldCol="fold", parallelism=PARALLEL_FITS).fit(rows)
     best = max(range(len(grid)), key=lambda i: (found.avgMetrics[i], -i))
     return found.bestModel, [
         {"ngram_max": s[est.ngramMax], "c": s[est.c], "cv_average_precision": float(found.avgMetrics[i]), "selected": i == best}
