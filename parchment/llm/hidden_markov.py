@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from parchment.llm.common import BLOCK_ROWS, discard, id_array, ids, mix, stage, utf8
+from parchment.llm.common import discard, id_array, ids, mix, stage, utf8
 
 STATES = 5
 CLASSES = 1 << 16
@@ -46,7 +46,7 @@ TRAIN_TOKENS = 1 << 19  # tokens of pieces or texts that advance together, if no
 BLOCK_BYTES = 8 << 20
 #: Tokens whose state probabilities are held at once; longer stretches are computed again from kept marks.
 HELD_TOKENS = 1 << 21
-ROWS = 1 << 15  # dictionary rows handed to Spark at once
+ROWS = 1 << 15  # dictionary rows handed to Spark, or by Spark, at once (a block is one row of its group)
 END = ""  # the end token's entry in a dictionary: no word is empty
 
 _BLOCK = "block long, ids binary, sizes binary, learn binary, tokens binary, classes binary, words array<string>"
@@ -389,6 +389,6 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", states: i
         finish, "doc_id long, n_tokens long, n_known long, base_score double, score double"))
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1, F.lit(False))
     out = stage(scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known",
-                              F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score"), "hmm-scores", BLOCK_ROWS)
+                              F.lit(n_all).cast("long").alias("train_tokens"), "base_score", "score"), "hmm-scores", ROWS)
     discard(blocks, words)
     return out

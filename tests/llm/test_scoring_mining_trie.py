@@ -131,6 +131,14 @@ def test_hard_negatives(spark, monkeypatch):
     assert {r.positive_score for r in got.collect()} == {(1 << 63) - 1}
 
 
+def test_hmm_dictionaries_are_dealt_in_large_batches(spark, monkeypatch):
+    asked, stage = {}, hidden_markov.stage
+    monkeypatch.setattr(hidden_markov, "stage", lambda df, name, *rows: asked.setdefault(name, rows) and None or stage(df, name, *rows))
+    docs = spark.createDataFrame([(i, f"one word{i} two") for i in range(20)], "doc_id long, text string")
+    assert hidden_markov.score(docs, rounds=1).count() == 20
+    assert asked["hmm-scores"][0] >= 1024  # eight rows at a time took most of the scoring's time
+
+
 def test_pruned_scores_lose_no_pair():
     rng = np.random.default_rng(6)
     for _ in range(60):
