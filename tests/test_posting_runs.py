@@ -1,5 +1,9 @@
 """Postings are made as runs, hold numbers where the index has them, and one posting a chunk."""
 
+import numpy as np
+import pandas as pd
+
+from parchment.functions import embedding
 from parchment.operators import keyword
 
 BASE = [(f"{i:064d}", "common " * (i % 3 + 1) + f"word{i % 40} tail {i}", i) for i in range(500)]
@@ -22,3 +26,12 @@ def test_rows_of_one_chunk_share_a_posting(spark):
     got = {(r.term, p.chunk_id): p.positions for r in keyword.build_postings(index).collect() for p in r.postings}
     assert got == {("x", "a"): [0, 2], ("y", "a"): [0, 1, 1], ("x", "b"): [0]}
     assert {r.term: r.df for r in keyword.build_postings(index).collect()} == {"x": 3, "y": 2}
+
+
+def test_vectors_do_not_depend_on_the_batch(monkeypatch):
+    texts = pd.Series([f"one word{i % 5} and tail {i}" for i in range(50)] + [None, ""])
+    want, sizes, whole = embedding.embed_batch(texts), [], embedding.embed_batch
+    monkeypatch.setattr(embedding, "_TEXTS", 7)
+    monkeypatch.setattr(embedding, "embed_batch", lambda t, *a: sizes.append(len(t)) or whole(t, *a))
+    got = embedding._make_udf(embedding.EMBEDDING_MODEL, embedding.EMBEDDING_DIMENSION).func(texts)
+    assert (np.stack(list(got)) == want.astype(np.float32)).all() and max(sizes) == 7

@@ -64,3 +64,10 @@ def test_features_are_numbered():
                 v = embedding.HASHERS[model](f)
                 want[v % 16] += -w if v & 1 else w
             assert np.allclose(row, want / (np.linalg.norm(want) or 1), atol=1e-8)
+
+
+def test_only_runs_of_blanks_that_change_are_replaced():
+    texts = ["a b  c", "\ta\t b \t", " one two\n\n x\ty ", None, ""]
+    got = extract.clean_text.func(pd.Series(texts), pd.Series([False] * 5))
+    assert list(got["extracted_text"][:3]) == ["a b c", "a b", "one two\nx y"] and list(got["word_count"]) == [3, 2, 4, 0, 0]
+    assert not extract._BLANKS.search("words with one blank between them")  # each of these was replaced by itself
