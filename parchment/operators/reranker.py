@@ -156,9 +156,7 @@ def select_model(train: DataFrame, grid_ngram=GRID_NGRAM_MAX, grid_c=GRID_C) ->
     n_folds = min(3, train.select("question_id").distinct().count())
     if n_folds < 2:
         raise ValueError("cross-validation needs two training questions")
-    est = BalancedReranker()
-    grid = ParamGridBuilder().addGrid(est.c, list(grid_c)).addGrid(est.ngramMax, list(grid_ngram)).build()
-    grid = sorted(grid, key=lambda s: (s[est.c], s[est.ngramMax]))
+    est, grid = _grid(grid_ngram, grid_c)
     # Written once: every optimiser step is a job over as many tasks as the table needs, not one for each shuffle partition.
     rows = materialize(with_folds(train, n_folds).select("text", "label", "fold"), "reranker-folds")
     found = CrossValidator(estimator=est, estimatorParamMaps=grid, evaluator=AveragePrecision(), numFolds=n_folds,
@@ -169,6 +167,21 @@ def select_model(train: DataFrame, grid_ngram=GRID_NGRAM_MAX, grid_c=GRID_C) ->
         for i, s in enumerate(grid)]
 
 
+def first_model(train: DataFrame, grid_ngram=GRID_NGRAM_MAX, grid_c=GRID_C) -> tuple[PipelineModel, list[dict]]:
+    """The model of the first setting, for a single training question: no setting can be scored, so scores are null."""
+    est, grid = _grid(grid_ngram, grid_c)
+    rows = materialize(train.select("text", "label"), "reranker-question")
+    return est.fit(rows, grid[0]), [
+        {"ngram_max": s[est.ngramMax], "c": s[est.c], "cv_average_precision": None, "selected": i == 0} for i, s in enumerate(grid)]
+
+
+def _grid(grid_ngram, grid_c) -> tuple[BalancedReranker, list[dict]]:
+    """The estimator and its settings, those that win ties first."""
+    est = BalancedReranker()
+    grid = ParamGridBuilder().addGrid(est.c, list(grid_c)).addGrid(est.ngramMax, list(grid_ngram)).build()
+    return est, sorted(grid, key=lambda s: (s[est.c], s[est.ngramMax]))
+
+
 def _plain(metrics: DataFrame) -> dict:
     return {k: float(v) for k, v in metrics.first().asDict().items()}
 
@@ -179,7 +192,8 @@ def train_reranker(examples: DataFrame, k: int = DEFAULT_TOP_K, candidate_limit:
 
     The setting is chosen on the training questions, the blend weight on the
     validation questions, and the test questions are only measured.  Each
-    split must hold both labels.
+    split must hold both labels.  A single training question leaves nothing to
+    choose by: the first setting is fitted.
     """
     counts = {(r["split"], r["label"]): (r["examples"], r["questions"]) for r in examples.groupBy("split", "label").agg(
         F.count(F.lit(1)).alias("examples"), F.count_distinct("question_id").alias("questions")).collect()}
@@ -187,7 +201,8 @@ def train_reranker(examples: DataFrame, k: int = DEFAULT_TOP_K, candidate_limit:
         if not {(split, 0), (split, 1)} <= set(counts):
             raise ValueError(f"{split} split must hold positive and negative examples")
     questions = {r["split"]: r["n"] for r in examples.groupBy("split").agg(F.count_distinct("question_id").alias("n")).collect()}
-    model, grid = select_model(examples.where(F.col("split") == "train"))
+    fit = select_model if questions["train"] > 1 else first_model
+    model, grid = fit(examples.where(F.col("split") == "train"))
     scored = positive_probability(model, examples.where(F.col("split") != "train").drop("fold")).persist()
     validation, test = (scored.where(F.col("split") == s) for s in SPLITS[1:])
     best = next(g for g in grid if g["selected"])

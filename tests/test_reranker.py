@@ -127,3 +127,11 @@ def test_a_split_without_both_labels_is_refused(spark, examples):
     with pytest.raises(ValueError, match="two training questions"):
         reranker.select_model(examples.where("question_id = 0"))
     assert evaluation.average_precision(examples.where("label = 0").withColumn("probability", F.lit(0.5))).first()[0] == 0
+
+
+def test_a_single_training_question_fits_the_first_setting(spark, examples):
+    one = examples.where("split = 'train'").agg(F.min("question_id")).first()[0]
+    model, record = reranker.train_reranker(examples.where((F.col("split") != "train") | (F.col("question_id") == one)))
+    assert record["train_questions"] == 1 and record["cv_average_precision"] is None
+    assert [g["selected"] for g in record["grid"]] == [True] + 5 * [False] and (record["best_c"], record["best_ngram_max"]) == (0.3, 1)
+    assert reranker.positive_probability(model, examples).where("probability between 0 and 1").count() == examples.count()
