@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 
 from parchment.functions import embedding
 from parchment.operators import keyword
@@ -35,3 +36,49 @@ def test_vectors_do_not_depend_on_the_batch(monkeypatch):
     monkeypatch.setattr(embedding, "embed_batch", lambda t, *a: sizes.append(len(t)) or whole(t, *a))
     got = embedding._make_udf(embedding.EMBEDDING_MODEL, embedding.EMBEDDING_DIMENSION).func(texts)
     assert (np.stack(list(got)) == want.astype(np.float32)).all() and max(sizes) == 7
+
+
+def test_packed_postings_come_back_whole():
+    far = [5, 6, 300, 7 << 33, (7 << 33) + 1, -4, 9]  # ascending or not, negative, of another partition
+    positions = [[0], [3, 9, 400], [70000], [1, 2], [0], [8], [2, 2_000_000_000]]
+    sizes, flat, run = np.array([len(p) for p in positions]), np.concatenate(positions), np.array([0, 3, 4, 7])
+    for ids in (pa.array(far, pa.int64()), pa.array([str(x) for x in far])):
+        rows = pa.RecordBatch.from_arrays(keyword._pack(ids, sizes, flat, run), ["ids", "places"])
+        assert [x.tolist() for x in keyword._unpack(rows)] == [ids.tolist(), sizes.tolist(), flat.tolist(), run.tolist()]
+        ids2, sizes2, flat2, run2 = keyword._unpack(rows.slice(1, 2))
+        assert (ids2.tolist(), sizes2.tolist(), run2.tolist()) == (ids.tolist()[3:], sizes.tolist()[3:], [0, 1, 4]) and flat2.tolist() == flat[5:].tolist()
+
+
+def test_runs_move_few_bytes():
+    """A posting of a numbered chunk takes a few bytes on its way, and a run's postings are cut into few pieces."""
+    words = [[f"w{i % 7}", "the", f"w{i % 7}"] for i in range(4096)]
+    ids = (3 << 33) + np.arange(4096)
+    batch = pa.RecordBatch.from_arrays([pa.array(ids), pa.array(words)], ["chunk_id", "words"])
+    run, = keyword._runs([batch])
+    assert run.num_rows == 8 and run.column("n").to_pylist()[run.column("term").to_pylist().index("the")] == 4096
+    assert run.column("ids").nbytes + run.column("places").nbytes < 2 * 4096 * 4
+    placed = run.append_column("df", run.column("n")).append_column("n_blocks", pa.array([32] * 8, pa.int32()))
+    cut = pa.Table.from_batches(keyword._cut([placed]))
+    assert cut.num_rows == 8 * 32 and sorted(set(cut.column("block").to_pylist())) == list(range(32))
+    got, _, _, _ = keyword._unpack(cut.combine_chunks().to_batches()[0])
+    assert sorted(got.to_pylist()) == sorted(ids.tolist() * 2)
+
+
+def test_blocks_across_batches():
+    """A block whose rows lie in several batches stays one block."""
+    ids, sizes, run = pa.array(range(6), pa.int64()), np.ones(6, int), np.arange(7)
+    held = keyword._pack(ids, sizes, np.arange(6), run)
+    n = pa.array([1] * 6, pa.int32())
+    rows = pa.RecordBatch.from_arrays([pa.array(["a", "b", "b", "b", "b", "c"]), pa.array([None] * 6, pa.int64()), n, pa.array([0, 0, 0, 0, 1, 0], pa.int32()), *held, n],
+                                      ["term", "df", "n_blocks", "block", "ids", "places", "folder"])
+    got = pa.Table.from_batches(keyword._gathered([rows.slice(i, 1) for i in range(6)])).to_pylist()
+    assert [(g["term"], g["block"], g["df"], [(x["chunk_id"], x["positions"]) for x in g["postings"]]) for g in got] == [
+        ("a", 0, 1, [(0, [0])]), ("b", 0, 3, [(1, [1]), (2, [2]), (3, [3])]), ("b", 1, 1, [(4, [4])]), ("c", 0, 1, [(5, [5])])]
+
+
+def test_neighbours_share_a_block_in_both_engines(spark):
+    from pyspark.sql import functions as F
+    ids = [0, 127, 128, 500, (1 << 33) + 5, (9 << 33) + 700, (1 << 62) + 12345, -1, -300]
+    df = spark.createDataFrame([(i, 8) for i in ids], "id long, n_blocks int")
+    got = [r[0] for r in df.select(keyword._block_of(F.col("id"), "n_blocks", df.schema["id"].dataType)).collect()]
+    assert got == (keyword._near(np.array(ids)) % 8).tolist()
