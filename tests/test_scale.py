@@ -71,3 +71,12 @@ def test_only_runs_of_blanks_that_change_are_replaced():
     got = extract.clean_text.func(pd.Series(texts), pd.Series([False] * 5))
     assert list(got["extracted_text"][:3]) == ["a b c", "a b", "one two\nx y"] and list(got["word_count"]) == [3, 2, 4, 0, 0]
     assert not extract._BLANKS.search("words with one blank between them")  # each of these was replaced by itself
+
+
+def test_stage_tables_are_written_small(spark):
+    import glob
+
+    from parchment.session import checkpoint_root, materialize
+    name = "written-small"
+    assert materialize(spark.range(10), name).count() == 10
+    assert glob.glob(f"{checkpoint_root(spark)}/{name}-*/*.zstd.parquet")
