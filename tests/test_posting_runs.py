@@ -3,9 +3,11 @@
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from parchment.functions import embedding
 from parchment.operators import keyword
+from parchment.plans import corpus
 
 BASE = [(f"{i:064d}", "common " * (i % 3 + 1) + f"word{i % 40} tail {i}", i) for i in range(500)]
 
@@ -58,6 +60,7 @@ def test_runs_move_few_bytes():
     assert run.num_rows == 8 and run.column("n").to_pylist()[run.column("term").to_pylist().index("the")] == 4096
     assert run.column("ids").nbytes + run.column("places").nbytes < 2 * 4096 * 4
     placed = run.append_column("df", run.column("n")).append_column("n_blocks", pa.array([32] * 8, pa.int32()))
+    placed = placed.append_column("width", pa.array([128] * 8, pa.int64()))
     cut = pa.Table.from_batches(keyword._cut([placed]))
     assert cut.num_rows == 8 * 32 and sorted(set(cut.column("block").to_pylist())) == list(range(32))
     got, _, _, _ = keyword._unpack(cut.combine_chunks().to_batches()[0])
@@ -69,16 +72,26 @@ def test_blocks_across_batches():
     ids, sizes, run = pa.array(range(6), pa.int64()), np.ones(6, int), np.arange(7)
     held = keyword._pack(ids, sizes, np.arange(6), run)
     n = pa.array([1] * 6, pa.int32())
-    rows = pa.RecordBatch.from_arrays([pa.array(["a", "b", "b", "b", "b", "c"]), pa.array([None] * 6, pa.int64()), n, pa.array([0, 0, 0, 0, 1, 0], pa.int32()), *held, n],
-                                      ["term", "df", "n_blocks", "block", "ids", "places", "folder"])
+    rows = pa.RecordBatch.from_arrays([pa.array(["a", "b", "b", "b", "b", "c"]), pa.array([None] * 6, pa.int64()), n, n.cast("int64"),
+                                       pa.array([0, 0, 0, 0, 1, 0], pa.int32()), *held, n], ["term", "df", "n_blocks", "width", "block", "ids", "places", "folder"])
     got = pa.Table.from_batches(keyword._gathered([rows.slice(i, 1) for i in range(6)])).to_pylist()
     assert [(g["term"], g["block"], g["df"], [(x["chunk_id"], x["positions"]) for x in g["postings"]]) for g in got] == [
         ("a", 0, 1, [(0, [0])]), ("b", 0, 3, [(1, [1]), (2, [2]), (3, [3])]), ("b", 1, 1, [(4, [4])]), ("c", 0, 1, [(5, [5])])]
 
 
-def test_neighbours_share_a_block_in_both_engines(spark):
-    from pyspark.sql import functions as F
-    ids = [0, 127, 128, 500, (1 << 33) + 5, (9 << 33) + 700, (1 << 62) + 12345, -1, -300]
-    df = spark.createDataFrame([(i, 8) for i in ids], "id long, n_blocks int")
-    got = [r[0] for r in df.select(keyword._block_of(F.col("id"), "n_blocks", df.schema["id"].dataType)).collect()]
-    assert got == (keyword._near(np.array(ids)) % 8).tolist()
+def test_neighbours_share_a_block(spark):
+    """The block that a query looks in is the one that the index put a number in; a stretch of numbers has few blocks."""
+    index = spark.range(4000).selectExpr("concat('c', id) chunk_id", "'common ' || id chunk_text", "id chunk_no").repartition(3)
+    stored = keyword.build_postings(index).where("term = 'common'")
+    blocks = stored.select("n_blocks", "width", "block", F.explode("postings.chunk_id").alias("no"))
+    asked = keyword._block_of(F.col("no"), "n_blocks", "width", blocks.schema["no"].dataType)
+    assert blocks.where(asked == F.col("block")).count() == 4000 and stored.count() == 32
+    assert blocks.where("no < 45").select("block").distinct().count() == 3  # 15 neighbours at a time
+
+
+def test_chunk_numbers_have_no_gaps(spark):
+    rows = spark.range(0, 1000, 1, 7).withColumn("chunk_no", F.monotonically_increasing_id()).where("id < 400 or id > 700")
+    assert sorted(r.chunk_no for r in corpus._counted(rows).collect())[-1] < 1000
+    full = corpus._counted(spark.range(0, 1000, 1, 7).withColumn("chunk_no", F.monotonically_increasing_id()))
+    assert sorted(r.chunk_no for r in full.collect()) == list(range(1000))
+    assert corpus._counted(full.limit(0)).count() == 0
