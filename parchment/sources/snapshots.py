@@ -115,7 +115,7 @@ class VersionedTable:
 
     def _write(self, rows: DataFrame) -> list[tuple[int, str]]:
         folder = f"data-{uuid.uuid4().hex}"
-        rows.withColumn(_BUCKET, self._bucket()).write.partitionBy(_BUCKET).parquet(f"{self.root}/{folder}")
+        rows.withColumn(_BUCKET, self._bucket()).write.option("compression", "zstd").partitionBy(_BUCKET).parquet(f"{self.root}/{folder}")
         mark = f"{_BUCKET}="
         return [(int(n[len(mark):]), f"{folder}/{n}") for n in self._names(folder) if n.startswith(mark)]
 

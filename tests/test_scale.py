@@ -80,3 +80,20 @@ def test_stage_tables_are_written_small(spark):
     name = "written-small"
     assert materialize(spark.range(10), name).count() == 10
     assert glob.glob(f"{checkpoint_root(spark)}/{name}-*/*.zstd.parquet")
+
+
+def test_texts_stay_where_they_are_while_passages_are_looked_for(spark):
+    from parchment.sources import fixtures
+    bench = spark.createDataFrame([(1, "one two three four five"), (2, "x y z")], "item_id long, passage string")
+    docs = spark.createDataFrame([(7, "zero one two three four five six"), (8, "w x y z"), (9, None)], "doc_id long, text string")
+    found = fixtures.contained_passages(bench, docs)
+    plan = _plan(found)
+    assert "BroadcastHashJoin [doc_id" in plan and "hashpartitioning(doc_id" not in plan
+    assert sorted(map(tuple, found.collect())) == [(1, 7), (2, 8)]
+
+
+def test_versions_are_written_small(spark, tmp_path):
+    from parchment.sources.snapshots import VersionedTable
+    table = VersionedTable(spark, f"{tmp_path}/t", ["id"])
+    table.overwrite(spark.range(10))
+    assert table.read().count() == 10 and list(tmp_path.glob("t/data-*/*/*.zstd.parquet"))
