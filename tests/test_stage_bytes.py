@@ -7,6 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from parchment.operators import keyword
 from parchment.plans import corpus
 from parchment.session import checkpoint_root
 
@@ -53,3 +54,28 @@ def test_index_holds_no_second_copy_of_its_texts(spark, tmp_path):
     newest = max(glob.glob(f"{checkpoint_root(spark)}/index-*"), key=lambda p: glob.os.stat(p).st_mtime)
     stored = spark.read.parquet(newest)
     assert "preview" not in stored.columns and stored.count() == index.count()
+
+
+def test_runs_are_counted_once_and_what_follows_is_not_moved(spark, monkeypatch):
+    made, whole = {}, keyword.materialize
+    monkeypatch.setattr(keyword, "materialize", lambda df, name, *a, **k: made.setdefault(name, df) and whole(df, name, *a, **k))
+    index = spark.range(300).selectExpr("concat('c', id) chunk_id", "'common ' || id chunk_text", "id chunk_no")
+    stored = keyword.build_postings(index)
+    assert stored.where("term = 'common'").select("df", "n_blocks", "width").distinct().collect() == [(300, 4, 9)]
+    assert stored.where("term = '7'").select("df", "n_blocks", "width", "block").collect() == [(1, 1, 37, 0)]
+    assert made["posting-terms"].columns == ["term", "df"]
+    moved = [columns for columns, how in _moved(made["postings"]) if "REPARTITION" in how]
+    assert moved and all(not {"n_blocks", "width", "folder"} & set(columns) for columns in moved)
+    assert "Aggregate" not in _formatted(made["postings"])
+
+
+def test_pairs_are_moved_narrow(spark):
+    """Of a found word its number and places are moved; named pairs are not moved again to be made distinct."""
+    index = spark.createDataFrame([("a", "x y z", 0), ("a", "w v", 0), ("b", "y x", 1), ("c", "x", 2)], "chunk_id string, chunk_text string, chunk_no long")
+    asked = spark.createDataFrame([(1, '"x y"'), (2, "x -z"), (3, "y or z")], "query_id long, query_text string")
+    pairs = keyword.keyword_pairs(index, asked, syntax="web")
+    moved = _moved(pairs)
+    found = [columns for columns, how in moved if "query_id" in how and "clause" in how and "positions" in columns]
+    assert found and all(set(c) == {"query_id", "clause", "chunk_id", "ask", "positions"} for c in found)
+    assert sum("hashpartitioning(query_id" in how and "chunk_id" in how and "clause" not in how for _, how in moved) == 1  # the scores' sums
+    assert sorted((r.query_id, r.chunk_id) for r in pairs.collect()) == [(1, "a"), (2, "b"), (2, "c"), (3, "a"), (3, "b")]
