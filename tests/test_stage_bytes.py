@@ -7,9 +7,11 @@ import re
 
 from pyspark.sql import functions as F
 
+from parchment.functions.text import words
 from parchment.operators import keyword
 from parchment.plans import corpus
 from parchment.session import checkpoint_root
+from parchment.sources import fixtures
 
 
 def _formatted(df) -> str:
@@ -79,3 +81,20 @@ def test_pairs_are_moved_narrow(spark):
     assert found and all(set(c) == {"query_id", "clause", "chunk_id", "ask", "positions"} for c in found)
     assert sum("hashpartitioning(query_id" in how and "chunk_id" in how and "clause" not in how for _, how in moved) == 1  # the scores' sums
     assert sorted((r.query_id, r.chunk_id) for r in pairs.collect()) == [(1, "a"), (2, "b"), (2, "c"), (3, "a"), (3, "b")]
+
+
+def test_words_take_one_pass(spark):
+    texts = [None, "", " ", "a", " a\t b\n\x1c c ", "a  b", "\n", "\x85a b "]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", words("t").alias("w"))
+    assert [r.w for r in rows.collect()] == [None if t is None else t.split() for t in texts]
+    assert "regexp_replace" not in _formatted(rows)
+
+
+def test_trigrams_are_hashed_in_place(spark):
+    bench = spark.createDataFrame([(1, "one two three four five"), (2, "x y z"), (3, "so few"), (4, "no such words in here")], "item_id long, passage string")
+    docs = spark.createDataFrame([(7, "zero one two three four five six"), (8, "w x y z"), (9, "so few"), (10, "a"), (11, None)], "doc_id long, text string")
+    found = fixtures.contained_passages(bench, docs)
+    assert sorted(map(tuple, found.collect())) == [(1, 7), (2, 8), (3, 9)]
+    assert "UDF" not in _formatted(found)
+    w = spark.createDataFrame([(["a", "b", "c", "d"],)], "w array<string>")
+    assert w.select(fixtures._hash_of_three("w", F.lit(1)) == F.xxhash64(*[F.lit(x) for x in "bcd"])).first()[0]
