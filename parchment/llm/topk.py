@@ -6,13 +6,16 @@ meets a block of candidates once: term by term, the queries that have the term
 scatter its weighted postings into a dense score array; a partition selection
 keeps k candidates per query and block, and these are merged per query.
 
-Query blocks are dealt to every cell of candidate blocks by a join on the
-cell, so neither side is broadcast or collected; a task holds one pair of
-blocks at a time.
+A task takes some query blocks and some candidate blocks, which it reads from
+the written tables itself (a Cartesian product of their partitions): neither
+side is copied for the other, broadcast or collected.  It holds one pair of
+blocks at a time, and k candidates for each query of the block.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401 - used as pa.compute
@@ -24,6 +27,7 @@ from pyspark.sql import functions as F
 from parchment.llm.common import BLOCK_ROWS, stage
 
 QUERY_BLOCK, CANDIDATE_BLOCK = 512, 4096
+TASK_BLOCKS = 16  # blocks of either side that a task takes, if there are tasks enough
 _LEAST, _MOST = -(1 << 63), (1 << 63) - 1
 _BLOCK = "block long, ids binary, n_terms int, postings binary"
 
@@ -85,53 +89,76 @@ def accumulate(queries: np.ndarray, postings: np.ndarray) -> np.ndarray:
     """Scores of (terms, q) queries against (terms, n) postings, term by term."""
     terms = min(len(queries), len(postings))
     scores = np.zeros((queries.shape[1], postings.shape[1]), queries.dtype)
+    weighted = np.empty_like(scores)
     for t in range(terms):
         has = np.flatnonzero(queries[t])
-        if len(has) == scores.shape[0]:
-            scores += queries[t][:, None] * postings[t]
+        if 2 * len(has) > len(scores):  # the others add zeros, which costs less than to pick rows
+            np.multiply(queries[t][:, None], postings[t], out=weighted)
+            scores += weighted
         elif len(has):
             scores[has] += queries[t][has, None] * postings[t]
     return scores
 
 
-def select(q_ids: np.ndarray, queries: np.ndarray, c_ids: np.ndarray, postings: np.ndarray, k: int):
+def select(q_ids: np.ndarray, queries: np.ndarray, c_ids: np.ndarray, postings: np.ndarray, k: int, best: tuple | None = None):
     """(query position, candidate id, score) of the k best candidates of each query, ties to the smaller id.
 
-    Exact also for huge components: those take arbitrary-precision integers,
-    and scores beyond 64 bits are clamped.
+    ``best`` is what earlier candidates gave for the same queries; it is
+    merged.  Exact also for huge components: those take arbitrary-precision
+    integers, and scores beyond 64 bits are clamped.
     """
     terms = max(1, min(len(queries), len(postings)))
-    small = np.abs(queries).max(initial=0) * np.abs(postings).max(initial=0) * terms * 2 * CANDIDATE_BLOCK < 1 << 62
-    kind = np.int64 if small else object
+    most = np.abs(queries).max(initial=0) * np.abs(postings).max(initial=0) * terms
+    small = most * 2 * CANDIDATE_BLOCK < 1 << 62
     if small:
-        queries, postings = queries.astype(np.int64), postings.astype(np.int64)
+        kind = np.int32 if max(most, np.abs(queries).max(initial=0), np.abs(postings).max(initial=0)) < 1 << 31 else np.int64
+        queries, postings = queries.astype(kind), postings.astype(kind)
     else:
         queries, postings = (np.vectorize(int, otypes=[object])(m) if m.size else m.astype(object) for m in (queries, postings))
-    at, found, score = [], [], []
+    at, found, score = best or (np.zeros(0, np.int64),) * 3
+    least = _kth(at, score, len(q_ids), k)
     for first in range(0, len(c_ids), 1024):
         own = c_ids[first:first + 1024]
         scores = accumulate(queries, postings[:, first:first + 1024])
-        order = scores * kind(1024) + np.arange(len(own) - 1, -1, -1) if small else scores * 1024 + np.arange(
-            len(own) - 1, -1, -1).astype(object)
         same = q_ids[:, None] == own
-        order[same] = -(1 << 62) if small else -(1 << 4000)
-        if len(own) > k and small:
-            pick = np.argpartition(order, len(own) - k, axis=1)[:, -k:]
+        hopeful = scores >= least[:, None] if small else None
+        if small and np.count_nonzero(hopeful) <= 8 * (k + 1) * len(q_ids):
+            row, col = np.nonzero(hopeful & ~same)
         else:
-            pick = np.argsort(order, axis=1)[:, -k:]
-        row = np.repeat(np.arange(len(q_ids)), pick.shape[1])
-        col = pick.reshape(-1)
-        keep = ~same[row, col]
-        at.append(row[keep]), found.append(own[col[keep]])
-        score.append(np.array([min(_MOST, max(_LEAST, x)) for x in scores[row[keep], col[keep]]], np.int64)
-                     if not small else scores[row[keep], col[keep]])
-    if not at:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    at, found, score = (np.concatenate(x) for x in (at, found, score))
-    order = np.lexsort((found, ~score, at))  # ~score falls as score rises and cannot overflow
-    at, found, score = at[order], found[order], score[order]
-    best = np.arange(len(at)) - np.searchsorted(at, at) < k
-    return at[best], found[best], score[best]
+            order = scores.astype(np.int64 if small else object) * 1024 + np.arange(len(own) - 1, -1, -1).astype(np.int64 if small else object)
+            order[same] = -(1 << 62) if small else -(1 << 4000)
+            if len(own) > k and small:
+                pick = np.argpartition(order, len(own) - k, axis=1)[:, -k:]
+            else:
+                pick = np.argsort(order, axis=1)[:, -k:]
+            row, col = np.repeat(np.arange(len(q_ids)), pick.shape[1]), pick.reshape(-1)
+            keep = ~same[row, col]
+            row, col = row[keep], col[keep]
+        if not len(row):
+            continue
+        new = scores[row, col].astype(np.int64) if small else np.array([min(_MOST, max(_LEAST, x)) for x in scores[row, col]], np.int64)
+        at, found, score = np.concatenate([at, row]), np.concatenate([found, own[col]]), np.concatenate([score, new])
+        order = np.lexsort((found, ~score, at))  # ~score falls as score rises and cannot overflow
+        at, found, score = at[order], found[order], score[order]
+        keep = np.arange(len(at)) - np.searchsorted(at, at) < k
+        at, found, score = at[keep], found[keep], score[keep]
+        least = _kth(at, score, len(q_ids), k)
+    return at, found, score
+
+
+def _kth(at: np.ndarray, score: np.ndarray, n: int, k: int) -> np.ndarray:
+    """The k-th best score of each query, the least number if it has fewer; ``at`` ascends, scores descend."""
+    out = np.full(n, _LEAST)
+    if k > 0:
+        last = np.flatnonzero(np.arange(len(at)) - np.searchsorted(at, at) == k - 1)
+        out[at[last]] = score[last]
+    return out
+
+
+def _in_tasks(blocks: DataFrame) -> DataFrame:
+    """The blocks in so many partitions that neither tasks nor what each does grow without bound."""
+    least = math.isqrt(8 * blocks.sparkSession.sparkContext.defaultParallelism) + 1
+    return blocks.coalesce(max(least, -(-blocks.count() // TASK_BLOCKS)))
 
 
 def top_k(vectors: DataFrame, is_query: F.Column, k: int = 5, scale: float = 256.0,
@@ -150,21 +177,31 @@ def top_k(vectors: DataFrame, is_query: F.Column, k: int = 5, scale: float = 256
     ask = vectors.where(is_query).select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("embedding"))
     candidates = _blocks(rows, CANDIDATE_BLOCK, scale, "topk-candidates")
     queries = _blocks(ask, QUERY_BLOCK, scale, "topk-queries")
-    cells = max(1, candidates.count())
-    dealt = queries.select(F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"), F.col("block").alias("q_block"),
-                           F.col("ids").alias("q_ids"), F.col("n_terms").alias("q_terms"), F.col("postings").alias("q_postings"))
-    pairs = candidates.withColumn("cell", F.pmod(F.xxhash64("block"), F.lit(cells)).cast("int")).join(dealt, "cell").select(
-        "ids", "n_terms", "postings", "q_block", "q_ids", "q_terms", "q_postings")
+    asked = queries.select(F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("n_terms").alias("q_terms"),
+                           F.col("postings").alias("q_postings"))
+    # every query block meets every candidate block; the hint keeps Spark from a broadcast, which grows with both sides
+    pairs = _in_tasks(asked).hint("shuffle_replicate_nl").crossJoin(_in_tasks(candidates.drop("block")))
 
     def meet(batches):
+        block, best = None, None
+
+        def out():
+            at, found, score = best
+            return pa.record_batch([pa.array(np.full(len(at), block, np.int64)), pa.array(at.astype(np.int64)),
+                                    pa.array(q_ids[at]), pa.array(found), pa.array(score)],
+                                   names=["q_block", "at", "query_id", "vec_id", "score"])
+
         for batch in batches:
             for row in batch.to_pylist():
+                if row["q_block"] != block:  # a query block meets all candidate blocks of the task in turn
+                    if best:
+                        yield out()
+                    block, best = row["q_block"], None
+                    q_ids, asked = _opened(row["q_ids"], row["q_terms"], row["q_postings"])
                 c_ids, postings = _opened(row["ids"], row["n_terms"], row["postings"])
-                q_ids, asked = _opened(row["q_ids"], row["q_terms"], row["q_postings"])
-                at, found, score = select(q_ids, asked, c_ids, postings, k)
-                yield pa.record_batch([pa.array(np.full(len(at), row["q_block"], np.int64)), pa.array(at.astype(np.int64)),
-                                       pa.array(q_ids[at]), pa.array(found), pa.array(score)],
-                                      names=["q_block", "at", "query_id", "vec_id", "score"])
+                best = select(q_ids, asked, c_ids, postings, k, best)
+        if best:
+            yield out()
 
     best = stage(pairs.mapInArrow(meet, "q_block long, at long, query_id long, vec_id long, score long"),
                  "topk-best", BLOCK_ROWS)
