@@ -55,6 +55,21 @@ def test_both_ways_give_the_same(spark, monkeypatch, numbered):
     assert taken and len(want) > 5 and {k: round(s, 9) for k, s in got.items()} == {k: round(s, 9) for k, s in want.items()}
 
 
+@pytest.mark.parametrize("number", ["", ", chunk_no long"])
+def test_rows_of_one_chunk_count_as_they_did(spark, monkeypatch, number):
+    """Positions that two rows of a chunk share count twice, as they do where candidates are few."""
+    chunks = [("a", "x y z", 0), ("a", "x y z", 0), ("b", "x y", 1), ("c", "x q", 2), ("c", "w y z", 2), ("d", "y x", 3)]
+    index = spark.createDataFrame([c[:3 if number else 2] for c in chunks], "chunk_id string, chunk_text string" + number)
+    asked = spark.createDataFrame(list(enumerate(["x", '"x y"', "x y", '"x unheard"', 'y -"x unheard"', "x -z", "y -x", '"y z" or q'])),
+                                  "query_id long, query_text string")
+    want = sorted(map(tuple, keyword.keyword_pairs(index, asked, syntax="web").collect()))
+    taken = _in_parts(monkeypatch, 3)
+    got = sorted(map(tuple, keyword.keyword_pairs(index, asked, syntax="web").collect()))
+    assert taken and [x[:2] for x in got] == [x[:2] for x in want] and len(got) > 8
+    assert np.allclose([x[2] for x in got], [x[2] for x in want])
+    assert (0, "a") not in {x[:2] for x in got}
+
+
 def test_no_row_is_made_for_a_candidate_and_a_word(spark, monkeypatch):
     """What is moved are packed postings by part and word, as many for one query as for twenty."""
     index = spark.range(3000).selectExpr("concat('c', id) chunk_id", "'common words here ' || id % 7 chunk_text", "id chunk_no")
